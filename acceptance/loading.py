@@ -11,7 +11,7 @@ from acceptance.registry import in_batch_sql, parts_counts_sql, query, shared_pa
 from batchload import BatchPlan, build
 from batchload.operators.extract import assign_batches
 from batchload.runner import load, read_manifest
-from batchload.sinks.files import write_batches
+from batchload.sinks.files import write_batches, written_counts
 
 
 def _load_events(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
@@ -24,8 +24,9 @@ def _load_events(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
         return assign_batches(rows, piece, "ts", "event_type")
 
     write = partial(write_batches, path=target, load_name=MIXED_REQUEST.name)
-    load(spark, plan, read, write, manifest, num_slices=3)
-    load(spark, plan, read, write, manifest, num_slices=2, resume=True)
+    count = partial(written_counts, spark, target, MIXED_REQUEST.name)
+    load(spark, plan, read, write, manifest, count=count)
+    load(spark, plan, read, write, manifest, num_jobs=2, resume=True, count=count)
     return target, manifest
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from datetime import datetime
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -142,7 +141,4 @@ def sql_per_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM {orders} WHERE o_orderdate >= :start AND o_orderdate < :end GROUP BY o_orderstatus"""
     frames = {"orders": table(spark, sf_dir, "orders")}
     plan = tumbling(spark, "19950101", "20020101", "yyyyMMdd", 365 * DAY)
-    groups = sql.batch_groups(spark, plan)
-    return reduce(
-        DataFrame.unionAll, [sql.select_each(spark, text, group, frames) for group in groups]
-    )
+    return sql.select_each(spark, text, plan, frames)

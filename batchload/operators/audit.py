@@ -20,14 +20,16 @@ def row_counts(tagged: DataFrame) -> DataFrame:
     return tagged.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def with_counts(batches: DataFrame, counts: DataFrame, n_batches: int) -> DataFrame:
+    """Batches with their `n_rows`, zero for those without rows."""
+    return batches.join(plan_side(counts, n_batches), "batch_id", "left").withColumn(
+        "n_rows", F.coalesce(F.col("n_rows"), F.lit(0).cast("bigint"))
+    )
+
+
 def row_counts_all(tagged: DataFrame, plan: BatchPlan) -> DataFrame:
     """The whole plan with the row count of every batch, zero for empty ones."""
-    counts = plan_side(row_counts(tagged), plan.n_batches)
-    return (
-        plan.frame(tagged.sparkSession)
-        .join(counts, "batch_id", "left")
-        .withColumn("n_rows", F.coalesce(F.col("n_rows"), F.lit(0).cast("bigint")))
-    )
+    return with_counts(plan.frame(tagged.sparkSession), row_counts(tagged), plan.n_batches)
 
 
 def summary(counted: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ they reach the scan as pushed filters.
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime, time, timedelta
 
 from pyspark.sql import Column, DataFrame
@@ -67,6 +68,21 @@ def open_range(
     return df.where(in_bounds(df, time_col, start, end))
 
 
+def within_days(
+    df: DataFrame, day_col: str, start: datetime | None, end: datetime | None
+) -> DataFrame:
+    """Rows whose day can lie in [start, end), by a DATE column that holds the day of their time.
+
+    Put before `window` or `assign_batches` on a table partitioned by day (with `*plan.hull()` as
+    the bounds), it prunes partitions; the time filter alone has to look into every file.
+    """
+    if start is not None:
+        df = df.where(F.col(day_col) >= F.lit(start.date()))
+    if end is not None:
+        df = df.where(F.col(day_col) <= F.lit((end - timedelta(microseconds=1)).date()))
+    return df
+
+
 def partition(
     df: DataFrame,
     partition_col: str,
@@ -211,14 +227,7 @@ def _plan_filter(
     partition_col: str,
 ) -> Column:
     """A condition on plain columns that covers the plan, for the scan to prune by."""
-    bounds = [(plan.lower(i), plan.upper(i)) for i in named]
-    lowers, uppers = [b[0] for b in bounds], [b[1] for b in bounds]
-    condition = in_bounds(
-        df,
-        time_col,
-        None if None in lowers else min(lowers),
-        None if None in uppers else max(uppers),
-    )
+    condition = in_bounds(df, time_col, *replace(plan, items=tuple(named)).hull())
     names = sorted({item.partition for item in named})
     if len(names) <= PUSHED_NAMES:
         condition = condition & F.col(partition_col).isin(*names)

@@ -113,6 +113,22 @@ class BatchPlan:
                 position += take
         return [replace(self, items=tuple(piece)) for piece in pieces]
 
+    def fragments(self, num_slices: int) -> list["BatchPlan"]:
+        """Like `split`, but with one item in each part, so that a part has a single pair of
+        bounds and a single partition."""
+        return [
+            replace(piece, items=(item,)) for piece in self.split(num_slices) for item in piece.items
+        ]
+
+    def hull(self) -> tuple[datetime | None, datetime | None]:
+        """Smallest range that holds all batches; None where the plan is open."""
+        lowers = [self.lower(item) for item in self.items]
+        uppers = [self.upper(item) for item in self.items]
+        return (
+            None if None in lowers else min(lowers, default=None),
+            None if None in uppers else max(uppers, default=None),
+        )
+
     def layers(self) -> list["BatchPlan"]:
         """Split into plans within which no row can belong to two items.
 

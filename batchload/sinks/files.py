@@ -2,27 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from batchload.operators.audit import row_counts
+from batchload.plans.batch_plan import BatchPlan
+
 
 def insert_into(df: DataFrame, table: str) -> None:
     """Append to a catalog table by column position, whatever the columns are called."""
     df.write.insertInto(table)
 
 
-def write_batches(tagged: DataFrame, path: str, load_name: str) -> None:
+def write_batches(tagged: DataFrame, path: str, load_name: str, rebalance: bool = True) -> None:
     """Write tagged rows as Parquet under `load_name=.../batch_id=...`.
 
     A rerun replaces the batches it holds and leaves all others, so a retry makes no duplicates.
-    The rebalance hint keeps a batch's rows together but splits a batch that is larger than the
-    others over several tasks (adaptive execution must be on, as it is by default).
+
+    The rebalance hint shuffles the rows of a batch together and splits a batch that is larger than
+    the others over several tasks (adaptive execution must be on, as it is by default). Without it
+    every task writes one file per batch it meets: cheaper where the source is already in time
+    order, very many small files where it is not.
     """
+    if rebalance:
+        tagged = tagged.hint("rebalance", "batch_id")
     (
-        tagged.hint("rebalance", "batch_id")
-        .withColumn("load_name", F.lit(load_name))
+        tagged.withColumn("load_name", F.lit(load_name))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("load_name", "batch_id")
         .parquet(path)
     )
+
+
+def written_counts(spark: SparkSession, path: str, load_name: str, plan: BatchPlan) -> DataFrame:
+    """Rows per batch of a plan as found in the files; no data column is read."""
+    first, last = plan.items[0].first_batch_id, plan.items[-1].last_batch_id
+    files = spark.read.schema("load_name string, batch_id bigint").parquet(path)
+    return row_counts(
+        files.where((F.col("load_name") == load_name) & F.col("batch_id").between(first, last))
+    )
