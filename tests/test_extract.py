@@ -1,0 +1,238 @@
+"""Batch assignment and filters against brute force on small rows, and the plans Spark makes."""
+
+from __future__ import annotations
+
+from collections import Counter
+from datetime import date, datetime, timedelta
+
+import pyarrow as pa
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from batchload import BatchRequest, build, tumbling
+from batchload.operators import audit, extract, project
+
+SCHEMA = "id bigint, t timestamp_ntz, p string"
+
+
+def frame(spark, rows):
+    """Rows as a local relation, which needs no Python worker."""
+    types = [pa.int64(), pa.timestamp("us"), pa.string()]
+    columns = zip(*rows) if rows else ([], [], [])
+    arrays = [pa.array(column, kind) for column, kind in zip(columns, types)]
+    return spark.createDataFrame(pa.table(dict(zip(("id", "t", "p"), arrays))), SCHEMA)
+
+
+def plan_text(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def brute(rows, batches):
+    found = Counter()
+    for row_id, t, p in rows:
+        for b in batches:
+            if b.partition is not None and b.partition != p:
+                continue
+            if b.start_ts is not None and (t is None or t < b.start_ts):
+                continue
+            if b.end_ts is not None and (t is None or t >= b.end_ts):
+                continue
+            found[row_id, b.batch_id] += 1
+    return found
+
+
+def check(spark, rows, plan):
+    df = frame(spark, rows)
+    tagged = extract.assign_batches(df, plan, "t", "p")
+    assert tagged.columns == ["id", "t", "p", "batch_id"]
+    batches = plan.frame(spark).collect()
+    assert Counter((r.id, r.batch_id) for r in tagged.collect()) == brute(rows, batches)
+
+
+def edge_rows():
+    rows, base = [], datetime(2019, 1, 1)
+    for hours in range(-30, 150, 6):
+        for micros in (-1, 0, 1):
+            for p in ("A", "B", "C", None):
+                rows.append((len(rows), base + timedelta(hours=hours, microseconds=micros), p))
+    rows += [(len(rows), None, "A"), (len(rows) + 1, None, None)]
+    return rows
+
+
+REQUESTS = {
+    "range": dict(start="20190101", end="20190104"),
+    "start": dict(start="20190102"),
+    "end": dict(end="20190102"),
+    "names": dict(partitions="A,C,A"),
+    "one name": dict(partitions="A"),
+    "ranges": dict(partitions="A:20190101-20190103,B:20190102-20190104,A:20190102-20190105"),
+    "one range": dict(partitions="A:20190101-20190103"),
+    "mixed": dict(start="20190103", partitions="A,B:20190101-20190104,Z,B"),
+    "mixed end": dict(end="20190102", partitions="B:20190101-20190104,A"),
+}
+
+
+@pytest.mark.parametrize("interval", [3600, 21600, 86400, 100000, 129600])
+@pytest.mark.parametrize("name", sorted(REQUESTS))
+def test_assignment_equals_brute_force(spark, name, interval):
+    request = BatchRequest("job", "yyyyMMdd", interval_seconds=interval, **REQUESTS[name])
+    check(spark, edge_rows(), build(spark, request))
+
+
+@pytest.mark.parametrize("clamp", [False, True])
+@pytest.mark.parametrize("pattern", ["yyyyMMddHHmmss", "yyyyMMddHH", "yyyyMM", "yyyy"])
+def test_assignment_for_patterns(spark, pattern, clamp):
+    start = "20181231230500"[: len(pattern)]
+    end = {"yyyy": "2021", "yyyyMM": "201904"}.get(pattern, "20190104070000"[: len(pattern)])
+    for interval in (5000, 864000, 8640000):
+        request = BatchRequest("job", pattern, start, end, interval, clamp_end=clamp)
+        plan = build(spark, request)
+        if plan.n_batches < 2000:
+            check(spark, edge_rows(), plan)
+
+
+@pytest.mark.parametrize("slices", [2, 5])
+def test_parts_of_a_plan_add_up(spark, slices):
+    for pattern, start, end, interval in [
+        ("yyyyMMdd", "20181231", "20190105", 5000),
+        ("yyyyMM", "201812", "201903", 500000),
+    ]:
+        plan = tumbling(spark, start, end, pattern, interval)
+        for piece in plan.split(slices):
+            check(spark, edge_rows(), piece)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    times=st.lists(st.datetimes(datetime(1968, 1, 1), datetime(1972, 1, 1)), max_size=60),
+    interval=st.sampled_from([86400 * 9, 86400 * 30 + 7]),
+)
+def test_times_before_1970(spark, times, interval):
+    rows = [(i, t, "A") for i, t in enumerate(times)]
+    check(spark, rows, tumbling(spark, "19690101", "19710101", "yyyyMMdd", interval))
+
+
+def test_shuffled_join_gives_the_same(spark, monkeypatch):
+    monkeypatch.setattr(extract, "BROADCAST_ROWS", 0)
+    request = BatchRequest("job", "yyyyMMdd", interval_seconds=86400, **REQUESTS["mixed"])
+    plan = build(spark, request)
+    check(spark, edge_rows(), plan)
+    df = frame(spark, edge_rows())
+    assert "SortMergeJoin" in plan_text(extract.assign_batches(df, plan, "t", "p"))
+
+
+def test_names_too_many_to_push(spark, monkeypatch):
+    monkeypatch.setattr(extract, "PUSHED_NAMES", 1)
+    request = BatchRequest("job", "yyyyMMdd", interval_seconds=86400, **REQUESTS["mixed"])
+    check(spark, edge_rows(), build(spark, request))
+
+
+def test_no_row_belongs_to_an_empty_plan(spark):
+    plan = tumbling(spark, "20190101", "20190103", "yyyyMMdd", 86400).between(5, 9)
+    df = frame(spark, edge_rows())
+    assert extract.assign_batches(df, plan, "t", "p").count() == 0
+
+
+def test_plans_need_no_range_join_and_push_filters(spark):
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    window = tumbling(spark, "20240101", "20240131", "yyyyMMdd", 3600)
+    text = plan_text(extract.assign_batches(events, window, "ts"))
+    assert "Join" not in text and "Exchange" not in text
+    assert "GreaterThanOrEqual(ts,2024-01-01" in text
+
+    request = BatchRequest(
+        "job",
+        "yyyyMMdd",
+        start="20240115",
+        partitions="click,view:20240101-20240110",
+        interval_seconds=3600,
+    )
+    tagged = extract.assign_batches(events, build(spark, request), "ts", "event_type")
+    text = plan_text(tagged)
+    assert "NestedLoop" not in text and "hashpartitioning" not in text
+    assert text.count("FileScan") == 1 and "In(event_type, [click,view])" in text
+
+    narrow = plan_text(audit.row_counts(tagged))
+    assert "ReadSchema: struct<ts:timestamp_ntz,event_type:string>" in narrow
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "date"])
+def test_other_time_types(spark, kind):
+    rows = frame(spark, edge_rows())
+    typed = rows.withColumn("t", rows["t"].cast(kind))
+    plan = tumbling(spark, "2019010106", "2019010318", "yyyyMMddHH", 43200)
+    as_ntz = typed.withColumn("t", typed["t"].cast("timestamp_ntz"))
+    got = extract.assign_batches(typed, plan, "t").select("id", "batch_id").collect()
+    expected = extract.assign_batches(as_ntz, plan, "t").select("id", "batch_id").collect()
+    assert sorted(got) == sorted(expected) and got
+
+
+def test_text_time_column_is_refused(spark):
+    rows = spark.createDataFrame([("20190101",)], "t string")
+    with pytest.raises(ValueError, match="cast it"):
+        extract.window(rows, "t", datetime(2019, 1, 1), datetime(2019, 1, 2))
+
+
+def test_missing_columns_are_refused(spark):
+    rows = frame(spark, edge_rows())
+    with pytest.raises(ValueError, match="time_col"):
+        extract.assign_batches(rows, tumbling(spark, "20190101", "20190103", "yyyyMMdd", 60))
+    with pytest.raises(ValueError, match="partition_col"):
+        extract.assign_batches(rows, build(spark, BatchRequest("j", "yyyyMMdd", partitions="A")))
+    with pytest.raises(ValueError):
+        extract.open_range(rows, "t")
+
+
+def test_predicates(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (4, None)], "id int, name string")
+    got = extract.by_predicates(rows, ["name = 'a'", "name = 'b'", "id < 3", "name is null"])
+    assert sorted((r.id, r.predicate_no) for r in got.collect()) == [
+        (1, 0),
+        (1, 2),
+        (2, 1),
+        (2, 2),
+        (4, 3),
+    ]
+    with pytest.raises(ValueError):
+        extract.by_predicates(rows, [])
+
+
+def test_days_prune_partitions(spark, tmp_path):
+    rows = frame(spark, edge_rows()).where("t is not null")
+    rows.withColumn("day", rows["t"].cast("date")).write.partitionBy("day").parquet(
+        str(tmp_path / "t")
+    )
+    table = spark.read.parquet(str(tmp_path / "t"))
+    plan = tumbling(spark, "20190102", "20190104", "yyyyMMdd", 43200)
+    pruned = extract.within_days(table, "day", *plan.hull())
+    assert {r.day for r in pruned.select("day").distinct().collect()} == {
+        date(2019, 1, 2),
+        date(2019, 1, 3),
+    }
+    tagged = extract.assign_batches(pruned, plan, "t")
+    assert tagged.count() == extract.assign_batches(table, plan, "t").count()
+    assert "PartitionFilters: [isnotnull(day" in plan_text(tagged)
+    assert extract.within_days(table, "day", None, None).count() == table.count()
+
+
+def test_projections(spark):
+    rows = spark.createDataFrame(
+        [(1, None, datetime(2019, 3, 10, 2, 30)), (2, "", None)],
+        "id int, name string, load_dt timestamp_ntz",
+    )
+    assert project.first_n(rows, 2).columns == ["id", "name"]
+    for n in (0, 4):
+        with pytest.raises(ValueError):
+            project.first_n(rows, n)
+    shaped = project.with_sign_version(rows, "load_dt").collect()
+    assert [(r.sign, r.version) for r in shaped] == [(1, datetime(2019, 3, 10, 2, 30)), (1, None)]
+    assert [tuple(r) for r in project.null_to_empty(rows).collect()] == [
+        ("1", "", "2019-03-10 02:30:00"),
+        ("2", "", ""),
+    ]
+    text = project.stringify(rows, timestamp_pattern="yyyyMMddHHmmss").collect()
+    assert [tuple(r) for r in text] == [("1", None, "20190310023000"), ("2", "", None)]
+    assert project.rename_positional(rows, ["a", "b", "c"]).columns == ["a", "b", "c"]
+    with pytest.raises(ValueError):
+        project.rename_positional(rows, ["a"])
