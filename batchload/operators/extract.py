@@ -122,10 +122,9 @@ def _window_number(ts: Column, origin: Column, plan: BatchPlan) -> Column:
         unit_end = F.add_months(F.trunc(ts.cast("date"), plan.unit), CALENDAR_MONTHS[plan.unit])
         elapsed = F.date_diff(unit_end, origin.cast("date")).cast("bigint") * 86400 - 1
         return F.call_function("div", elapsed, F.lit(seconds))
-    unit = UNIT_SECONDS.get(plan.unit, 1)
-    if plan.unit == "exact" or seconds % unit == 0:
-        width = F.expr(f"INTERVAL '{seconds}' SECOND")
-        return F.call_function("div", ts - origin, width)
+    if not plan.cuts_bounds:
+        return F.call_function("div", ts - origin, F.expr(f"INTERVAL '{seconds}' SECOND"))
+    unit = UNIT_SECONDS[plan.unit]
     units_after = F.call_function("div", ts - origin, F.expr(f"INTERVAL '{unit}' SECOND")) + 1
     return F.call_function("div", units_after * unit - 1, F.lit(seconds))
 

@@ -16,7 +16,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from batchload.functions.patterns import floor_column, floor_to_unit, format_column
+from batchload.functions.patterns import (
+    CALENDAR_MONTHS,
+    UNIT_SECONDS,
+    floor_column,
+    floor_to_unit,
+    format_column,
+)
 
 PLAN_COLUMNS = ["batch_id", "kind", "start_ts", "end_ts", "start_text", "end_text", "partition"]
 WINDOWED = ("range", "partition_range")
@@ -54,6 +60,13 @@ class BatchPlan:
     def n_batches(self) -> int:
         return sum(item.n_batches for item in self.items)
 
+    @property
+    def cuts_bounds(self) -> bool:
+        """Whether bounds lose something as text: the pattern is coarser than the interval."""
+        if self.unit in CALENDAR_MONTHS:
+            return True
+        return self.interval_seconds % UNIT_SECONDS.get(self.unit, 1) != 0
+
     def lower(self, item: PlanItem) -> datetime | None:
         """Start of the item's first batch."""
         if item.kind in WINDOWED:
@@ -206,13 +219,13 @@ class BatchPlan:
             step = F.expr(f"INTERVAL '{self.interval_seconds}' SECOND")
             window = F.col("first_window") + F.col("offset")
             windowed = F.col("kind").isin(*WINDOWED)
-            next_start = floor_column(F.col("origin") + step * (window + 1), self.unit)
+            begin, next_begin = F.col("origin") + step * window, F.col("origin") + step * (window + 1)
+            if self.cuts_bounds:
+                begin, next_begin = (floor_column(c, self.unit) for c in (begin, next_begin))
             if self.clamp_end:
-                next_start = F.least(next_start, F.col("stop"))
-            start = F.when(
-                windowed, floor_column(F.col("origin") + step * window, self.unit)
-            ).otherwise(start)
-            end = F.when(windowed, next_start).otherwise(end)
+                next_begin = F.least(next_begin, F.col("stop"))
+            start = F.when(windowed, begin).otherwise(start)
+            end = F.when(windowed, next_begin).otherwise(end)
         return (
             rows.withColumn("batch_id", F.col("first_batch_id") + F.col("offset"))
             .withColumn("start_ts", start)
