@@ -162,7 +162,8 @@ def _assign_single(
 ) -> DataFrame:
     rows = df.where(in_bounds(df, time_col, plan.lower(item), plan.upper(item)))
     if item.partition is not None:
-        rows = rows.where(F.col(partition_col) == item.partition)
+        kind = df.schema[partition_col].dataType
+        rows = rows.where(F.col(partition_col) == F.lit(item.partition).cast(kind))
     batch_id = F.lit(item.first_batch_id).cast("bigint")
     if item.kind in WINDOWED:
         ts = F.col(time_col).cast("timestamp_ntz")
@@ -180,17 +181,17 @@ def _assign_joined(
 
     # A row competes for the items of its partition and, if there is one, for the open range,
     # which has no partition name.
-    name = F.col(partition_col).cast("string")
+    kind = df.schema[partition_col].dataType
+    key = F.col(partition_col)
     if whole:
-        keys = F.when(name.isNull(), F.array(name)).otherwise(
-            F.array(F.lit(None).cast("string"), name)
-        )
+        none = F.lit(None).cast(kind)
+        keys = F.when(key.isNull(), F.array(none)).otherwise(F.array(none, key))
         rows = rows.withColumn("__bl_key", F.explode(keys))
     else:
-        rows = rows.withColumn("__bl_key", name)
+        rows = rows.withColumn("__bl_key", key)
 
     items = plan.items_frame(df.sparkSession).select(
-        F.col("partition").alias("__bl_partition"),
+        F.col("partition").cast(kind).alias("__bl_partition"),
         F.col("kind").alias("__bl_kind"),
         F.col("origin").alias("__bl_origin"),
         F.col("lower").alias("__bl_lower"),
@@ -229,7 +230,8 @@ def _plan_filter(
     condition = in_bounds(df, time_col, *replace(plan, items=tuple(named)).hull())
     names = sorted({item.partition for item in named})
     if len(names) <= PUSHED_NAMES:
-        condition = condition & F.col(partition_col).isin(*names)
+        kind = df.schema[partition_col].dataType
+        condition = condition & F.col(partition_col).isin(*[F.lit(n).cast(kind) for n in names])
     else:
         condition = condition & F.col(partition_col).isNotNull()
     for item in whole:

@@ -28,26 +28,27 @@ def plan_text(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def brute(rows, batches):
+def brute(rows, plan):
+    """Batch by batch over all rows; `test_plans` holds that the batches are the right ones."""
     found = Counter()
-    for row_id, t, p in rows:
-        for b in batches:
-            if b.partition is not None and b.partition != p:
+    for batch in plan.fragments(plan.n_batches):
+        (item,) = batch.items
+        lower, upper = batch.lower(item), batch.upper(item)
+        for row_id, t, p in rows:
+            if item.partition is not None and item.partition != p:
                 continue
-            if b.start_ts is not None and (t is None or t < b.start_ts):
+            if lower is not None and (t is None or t < lower):
                 continue
-            if b.end_ts is not None and (t is None or t >= b.end_ts):
+            if upper is not None and (t is None or t >= upper):
                 continue
-            found[row_id, b.batch_id] += 1
+            found[row_id, item.first_batch_id] += 1
     return found
 
 
 def check(spark, rows, plan):
-    df = frame(spark, rows)
-    tagged = extract.assign_batches(df, plan, "t", "p")
+    tagged = extract.assign_batches(frame(spark, rows), plan, "t", "p")
     assert tagged.columns == ["id", "t", "p", "batch_id"]
-    batches = plan.frame(spark).collect()
-    assert Counter((r.id, r.batch_id) for r in tagged.collect()) == brute(rows, batches)
+    assert Counter((r.id, r.batch_id) for r in tagged.collect()) == brute(rows, plan)
 
 
 def edge_rows():
@@ -113,6 +114,17 @@ def test_times_before_1970(spark, times, interval):
     check(spark, rows, tumbling(spark, "19690101", "19710101", "yyyyMMdd", interval))
 
 
+@pytest.mark.parametrize("spec", ["2", "2,03:20190101-20190104,7"])
+def test_partition_column_of_another_type(spark, spec):
+    rows = frame(spark, edge_rows()).selectExpr("id", "t", "cast(id % 5 as int) as p")
+    request = BatchRequest("job", "yyyyMMdd", partitions=spec, interval_seconds=86400)
+    got = extract.assign_batches(rows, build(spark, request), "t", "p")
+    inside = "p = 2 or p = 3 and t >= timestamp_ntz'2019-01-01' and t < timestamp_ntz'2019-01-04'"
+    expected = rows.where(inside if "," in spec else "p = 2")
+    assert Counter(r.id for r in got.collect()) == Counter(r.id for r in expected.collect())
+    assert "cast(p" not in plan_text(got)
+
+
 def test_shuffled_join_gives_the_same(spark, monkeypatch):
     monkeypatch.setattr(extract, "BROADCAST_ROWS", 0)
     request = BatchRequest("job", "yyyyMMdd", interval_seconds=86400, **REQUESTS["mixed"])
