@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 # Units from fine to coarse. "exact" means finer than a second: whole-second windows lose nothing.
 UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
-CALENDAR_MONTHS = {"month": 1, "quarter": 3, "year": 12}
+CALENDAR_MONTHS = {"month": 1, "year": 12}
 
 # Pattern letters of Spark's datetime patterns, by the unit they stand for.
 PATTERN_LETTERS = {
@@ -24,7 +24,6 @@ PATTERN_LETTERS = {
     "hour": "HkhK",
     "day": "dD",
     "month": "ML",
-    "quarter": "Qq",
     "year": "y",
 }
 
@@ -64,6 +63,11 @@ def parse_texts(spark: SparkSession, texts: list[str], pattern: str) -> list[dat
     """Parse bound texts strictly with Spark's own parser (a local relation, no data rows)."""
     if not texts:
         return []
+    # The parser needs a mark between seconds and a fraction written right behind them.
+    digits = len(pattern) - len(pattern.rstrip("S"))
+    if digits and pattern[:-digits].endswith("s"):
+        pattern = f"{pattern[:-digits]}.{pattern[-digits:]}"
+        texts = [f"{text[:-digits]}.{text[-digits:]}" for text in texts]
     rows = spark.createDataFrame(pa.table({"text": pa.array(texts, pa.string())}))
     try:
         parsed = rows.select(F.to_timestamp_ntz("text", F.lit(pattern)).alias("value")).collect()

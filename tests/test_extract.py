@@ -104,6 +104,22 @@ def test_parts_of_a_plan_add_up(spark, slices):
             check(spark, edge_rows(), piece)
 
 
+def test_times_around_1970(spark):
+    base = datetime(1970, 1, 1)
+    times = [base + timedelta(seconds=s, microseconds=m) for s in range(-9, 10) for m in (-1, 0, 1)]
+    rows = [(i, t, "A") for i, t in enumerate(times)]
+    for start in ("19691231235957", "19700101000000", "19700101000002"):
+        for interval in (1, 3):
+            check(spark, rows, tumbling(spark, start, "19700101000007", "yyyyMMddHHmmss", interval))
+
+
+def test_origin_within_a_second(spark):
+    base = datetime(2019, 1, 1)
+    rows = [(i, base + timedelta(milliseconds=100 * i), "A") for i in range(60)]
+    plan = tumbling(spark, "20190101000000300", "20190101000004800", "yyyyMMddHHmmssSSS", 1)
+    check(spark, rows, plan)
+
+
 @settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
 @given(
     times=st.lists(st.datetimes(datetime(1968, 1, 1), datetime(1972, 1, 1)), max_size=60),
