@@ -20,6 +20,9 @@ from batchload.plans.batch_plan import WINDOWED, BatchPlan, PlanItem
 # beforehand; larger ones are joined by shuffle.
 BROADCAST_ROWS = 200_000
 
+# Plans of up to this many items are matched by a CASE expression, longer ones by a join.
+INLINE_ITEMS = 32
+
 # Partition names pushed to the scan as an IN list.
 PUSHED_NAMES = 1_000
 
@@ -107,8 +110,9 @@ def by_predicates(df: DataFrame, predicates: list[str]) -> DataFrame:
     any_of = tests[0]
     for test in tests[1:]:
         any_of = any_of | test
-    hits = F.array_compact(F.array(*[F.when(test, F.lit(i)) for i, test in enumerate(tests)]))
-    return df.where(any_of).withColumn("predicate_no", F.explode(hits))
+    hits = F.array(*[F.when(test, F.lit(i)) for i, test in enumerate(tests)])
+    hit_rows = df.where(any_of).withColumn("predicate_no", F.explode(hits))
+    return hit_rows.where(F.col("predicate_no").isNotNull())
 
 
 def _steps(ts: Column, origin: Column, seconds: int, plan: BatchPlan) -> Column:
@@ -154,8 +158,9 @@ def assign_batches(
     """Rows of `df` that belong to the plan, tagged with `batch_id`.
 
     A row comes once for each item of the plan it belongs to, as if every batch had been selected
-    on its own. One item needs no join at all. Several items are equi-joined on the partition name,
-    with one row per item (not per batch) on the small side.
+    on its own, but the input is read once and, for plans of a few items, without any join. Many
+    items are equi-joined on the partition name, with one row per item (not per batch) on the
+    small side.
     """
     kinds = {item.kind for item in plan.items}
     if kinds - {"partition"} and time_col is None:
@@ -164,28 +169,38 @@ def assign_batches(
         raise ValueError("the plan names partitions: partition_col is required")
     if not plan.items:
         return df.where(F.lit(False)).withColumn("batch_id", F.lit(None).cast("bigint"))
-    if len(plan.items) == 1:
-        return _assign_single(df, plan, plan.items[0], time_col, partition_col)
+    if len(plan.items) <= INLINE_ITEMS:
+        return _assign_inline(df, plan, time_col, partition_col)
     return _assign_joined(df, plan, time_col, partition_col)
 
 
-def _assign_single(
-    df: DataFrame,
-    plan: BatchPlan,
-    item: PlanItem,
-    time_col: str | None,
-    partition_col: str | None,
+def _assign_inline(
+    df: DataFrame, plan: BatchPlan, time_col: str | None, partition_col: str | None
 ) -> DataFrame:
-    rows = df.where(in_bounds(df, time_col, plan.lower(item), plan.upper(item)))
-    if item.partition is not None:
-        kind = df.schema[partition_col].dataType
-        rows = rows.where(F.col(partition_col) == F.lit(item.partition).cast(kind))
-    batch_id = F.lit(item.first_batch_id).cast("bigint")
-    if item.kind in WINDOWED:
-        ts = F.col(time_col).cast("timestamp_ntz")
-        number = _window_number(ts, ntz_literal(item.origin), plan)
-        batch_id = number + F.lit(item.first_batch_id - item.first_window).cast("bigint")
-    return rows.withColumn("batch_id", batch_id)
+    """One CASE expression for each set of items that exclude each other."""
+    any_of, hits = None, []
+    for layer in plan.layers():
+        hit = None
+        for item in layer.items:
+            test = in_bounds(df, time_col, plan.lower(item), plan.upper(item))
+            if item.partition is not None:
+                kind = df.schema[partition_col].dataType
+                test = (F.col(partition_col) == F.lit(item.partition).cast(kind)) & test
+            batch_id = F.lit(item.first_batch_id).cast("bigint")
+            if item.kind in WINDOWED:
+                ts = F.col(time_col).cast("timestamp_ntz")
+                number = _window_number(ts, ntz_literal(item.origin), plan)
+                batch_id = number + F.lit(item.first_batch_id - item.first_window).cast("bigint")
+            any_of = test if any_of is None else any_of | test
+            hit = F.when(test, batch_id) if hit is None else hit.when(test, batch_id)
+        hits.append(hit)
+    rows = df.where(any_of)
+    if len(plan.items) == 1:
+        return rows.withColumn("batch_id", batch_id)
+    if len(hits) == 1:
+        return rows.withColumn("batch_id", hits[0])
+    exploded = rows.withColumn("batch_id", F.explode(F.array(*hits)))
+    return exploded.where(F.col("batch_id").isNotNull())
 
 
 def _assign_joined(

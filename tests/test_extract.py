@@ -131,7 +131,9 @@ def test_times_before_1970(spark, times, interval):
 
 
 @pytest.mark.parametrize("spec", ["2", "2,03:20190101-20190104,7"])
-def test_partition_column_of_another_type(spark, spec):
+@pytest.mark.parametrize("inline", [0, 32])
+def test_partition_column_of_another_type(spark, monkeypatch, spec, inline):
+    monkeypatch.setattr(extract, "INLINE_ITEMS", inline)
     rows = frame(spark, edge_rows()).selectExpr("id", "t", "cast(id % 5 as int) as p")
     request = BatchRequest("job", "yyyyMMdd", partitions=spec, interval_seconds=86400)
     got = extract.assign_batches(rows, build(spark, request), "t", "p")
@@ -141,7 +143,18 @@ def test_partition_column_of_another_type(spark, spec):
     assert "cast(p" not in plan_text(got)
 
 
+@pytest.mark.parametrize("interval", [21600, 129600])
+@pytest.mark.parametrize("name", sorted(REQUESTS))
+def test_assignment_by_join(spark, monkeypatch, name, interval):
+    monkeypatch.setattr(extract, "INLINE_ITEMS", 0)
+    request = BatchRequest("job", "yyyyMMdd", interval_seconds=interval, **REQUESTS[name])
+    plan = build(spark, request)
+    if any(item.partition for item in plan.items):
+        check(spark, edge_rows(), plan)
+
+
 def test_shuffled_join_gives_the_same(spark, monkeypatch):
+    monkeypatch.setattr(extract, "INLINE_ITEMS", 0)
     monkeypatch.setattr(extract, "BROADCAST_ROWS", 0)
     request = BatchRequest("job", "yyyyMMdd", interval_seconds=86400, **REQUESTS["mixed"])
     plan = build(spark, request)
@@ -151,6 +164,7 @@ def test_shuffled_join_gives_the_same(spark, monkeypatch):
 
 
 def test_names_too_many_to_push(spark, monkeypatch):
+    monkeypatch.setattr(extract, "INLINE_ITEMS", 0)
     monkeypatch.setattr(extract, "PUSHED_NAMES", 1)
     request = BatchRequest("job", "yyyyMMdd", interval_seconds=86400, **REQUESTS["mixed"])
     check(spark, edge_rows(), build(spark, request))
@@ -162,7 +176,8 @@ def test_no_row_belongs_to_an_empty_plan(spark):
     assert extract.assign_batches(df, plan, "t", "p").count() == 0
 
 
-def test_plans_need_no_range_join_and_push_filters(spark):
+@pytest.mark.parametrize("inline", [0, 32])
+def test_plans_need_no_range_join_and_push_filters(spark, monkeypatch, inline):
     events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     window = tumbling(spark, "20240101", "20240131", "yyyyMMdd", 3600)
     text = plan_text(extract.assign_batches(events, window, "ts"))
@@ -176,10 +191,13 @@ def test_plans_need_no_range_join_and_push_filters(spark):
         partitions="click,view:20240101-20240110",
         interval_seconds=3600,
     )
+    monkeypatch.setattr(extract, "INLINE_ITEMS", inline)
     tagged = extract.assign_batches(events, build(spark, request), "ts", "event_type")
     text = plan_text(tagged)
     assert "NestedLoop" not in text and "hashpartitioning" not in text
-    assert text.count("FileScan") == 1 and "In(event_type, [click,view])" in text
+    assert ("Join" in text) == (inline == 0)
+    assert text.count("FileScan") == 1
+    assert ("EqualTo(event_type,click)" if inline else "In(event_type, [click,view])") in text
 
     narrow = plan_text(audit.row_counts(tagged))
     assert "ReadSchema: struct<ts:timestamp_ntz,event_type:string>" in narrow
