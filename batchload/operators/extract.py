@@ -20,8 +20,9 @@ from batchload.plans.batch_plan import WINDOWED, BatchPlan, PlanItem
 # beforehand; larger ones are joined by shuffle.
 BROADCAST_ROWS = 200_000
 
-# Plans of up to this many items are matched by a CASE expression, longer ones by a join.
-INLINE_ITEMS = 32
+# Plans of up to this many items are matched by a CASE expression, longer ones by a join. The
+# expression is about twice as fast for a few items, but its generated code soon grows too large.
+INLINE_ITEMS = 6
 
 # Partition names pushed to the scan as an IN list.
 PUSHED_NAMES = 1_000
