@@ -209,6 +209,12 @@ def _assign_joined(
 ) -> DataFrame:
     whole = [item for item in plan.items if item.partition is None]
     named = [item for item in plan.items if item.partition is not None]
+    if whole and len(plan.items) > BROADCAST_ROWS:
+        # In a shuffle, all rows of the open range would meet at the one item without a partition.
+        parts = [replace(plan, items=tuple(part)) for part in (whole, named)]
+        return _assign_inline(df, parts[0], time_col, partition_col).unionAll(
+            _assign_joined(df, parts[1], time_col, partition_col)
+        )
     rows = df.where(_plan_filter(df, plan, whole, named, time_col, partition_col))
 
     # A row competes for the items of its partition and, if there is one, for the open range,
@@ -224,15 +230,15 @@ def _assign_joined(
 
     items = plan.items_frame(df.sparkSession).select(
         F.col("partition").cast(kind).alias("__bl_partition"),
-        F.col("kind").alias("__bl_kind"),
-        F.col("origin").alias("__bl_origin"),
+        F.when(F.col("kind").isin(*WINDOWED), F.col("origin")).alias("__bl_origin"),
         F.col("lower").alias("__bl_lower"),
         F.col("upper").alias("__bl_upper"),
         (F.col("first_batch_id") - F.col("first_window")).alias("__bl_shift"),
     )
-    on = F.col("__bl_key").eqNullSafe(F.col("__bl_partition")) if whole else (
-        F.col("__bl_key") == F.col("__bl_partition")
-    )
+    if whole:
+        on = F.col("__bl_key").eqNullSafe(F.col("__bl_partition"))
+    else:
+        on = F.col("__bl_key") == F.col("__bl_partition")
     batch_id = F.col("__bl_shift")
     if time_col is not None:
         ts = F.col(time_col).cast("timestamp_ntz")
@@ -242,10 +248,8 @@ def _assign_joined(
             & (F.col("__bl_upper").isNull() | (ts < F.col("__bl_upper")))
         )
         if plan.interval_seconds:
-            batch_id = batch_id + F.when(
-                F.col("__bl_kind").isin(*WINDOWED),
-                _window_number(ts, F.col("__bl_origin"), plan),
-            ).otherwise(F.lit(0))
+            number = _window_number(ts, F.col("__bl_origin"), plan)
+            batch_id = batch_id + F.coalesce(number, F.lit(0))
     joined = rows.join(plan_side(items, len(plan.items)), on)
     return joined.select(*df.columns, batch_id.alias("batch_id"))
 

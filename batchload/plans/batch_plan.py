@@ -129,9 +129,8 @@ class BatchPlan:
     def fragments(self, num_slices: int) -> list["BatchPlan"]:
         """Like `split`, but with one item in each part, so that a part has a single pair of
         bounds and a single partition."""
-        return [
-            replace(piece, items=(item,)) for piece in self.split(num_slices) for item in piece.items
-        ]
+        pieces = self.split(num_slices)
+        return [replace(self, items=(item,)) for piece in pieces for item in piece.items]
 
     def hull(self) -> tuple[datetime | None, datetime | None]:
         """Smallest range that holds all batches; None where the plan is open."""
@@ -219,7 +218,8 @@ class BatchPlan:
             step = F.expr(f"INTERVAL '{self.interval_seconds}' SECOND")
             window = F.col("first_window") + F.col("offset")
             windowed = F.col("kind").isin(*WINDOWED)
-            begin, next_begin = F.col("origin") + step * window, F.col("origin") + step * (window + 1)
+            begin = F.col("origin") + step * window
+            next_begin = F.col("origin") + step * (window + 1)
             if self.cuts_bounds:
                 begin, next_begin = (floor_column(c, self.unit) for c in (begin, next_begin))
             if self.clamp_end:
