@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from acceptance import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
@@ -29,7 +30,7 @@ def _rows(names, rows):
     return Counter(tuple(row[i] for i in order) for row in rows)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_oracle(spark, duck, name):
     got = queries()[name](spark, SF_DIR)
     expected = duck.execute(oracle_sql()[name])
