@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from batchload.llm import secrets
 from batchload.llm.common import table
 from batchload.llm.mix import mix
 
@@ -26,3 +27,33 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken")
     )
+
+
+@query
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The secrets of every document."""
+    docs = table(spark, sf_dir, "documents")
+    found = secrets.scan(docs, secrets.train(docs))
+
+    def listed(spans):
+        return F.array_join(
+            F.transform(
+                spans,
+                lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"),
+                                      s["end"].cast("string")),
+            ),
+            ",",
+        )
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    base = F.filter("spans", lambda s: s["kind"] != "random")
+    return found.select(
+        "doc_id",
+        count("assign").alias("n_assign"),
+        count("access").alias("n_access"),
+        count("hex").alias("n_hex"),
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
