@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from batchload.llm import secrets
+from batchload.llm import langid, secrets
 from batchload.llm.common import table
 from batchload.llm.mix import mix
 
@@ -57,3 +57,26 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(listed(base), 256).alias("base_sha256"),
         listed(F.col("spans")).alias("spans"),
     )
+
+
+def remainder(id_col: str, divisor: int):
+    """crc32 of the id as text, modulo `divisor`; a null id counts as empty text."""
+    return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % divisor
+
+
+@query
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learnt from the documents that are not held out."""
+    docs = table(spark, sf_dir, "documents").withColumn(
+        "held_out", remainder("doc_id", 4) == 2
+    )
+    found = langid.train(docs.where("NOT held_out"))
+    said = docs.select("doc_id", "held_out", langid.identify(F.col("text"), found, spark).alias("x"))
+    return said.select(
+        "doc_id",
+        "held_out",
+        F.coalesce("x.lang", F.lit("und")).alias("lang_pred"),
+        "x.score",
+        "x.rejected",
+        "x.entropy",
+    )
