@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from batchload.llm import langid, secrets
+from batchload.llm import bpe, langid, secrets
 from batchload.llm.common import table
 from batchload.llm.mix import mix
 
@@ -80,3 +81,17 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "x.rejected",
         "x.entropy",
     )
+
+
+@query
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ids of every document, and the bytes that they decode to, as digests."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    docs = table(spark, sf_dir, "documents")
+    decoded = bpe.decode(bpe.encode(docs, path, public_tokenizers.PATTERN), path)
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(bpe.ids_text(F.col("ids")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
