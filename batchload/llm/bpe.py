@@ -21,6 +21,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: A block holds whole documents of about so many characters.
 BLOCK_CHARS = 8_000_000
@@ -218,7 +219,7 @@ def encode(
     """
     shared = ship(docs.sparkSession, ranks_path)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    schema = rows.select("doc_id").schema.add("ids", "array<int>")
+    schema = rows.select("doc_id").schema.add("ids", T.ArrayType(T.IntegerType()))
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks, cut = _ranks(shared.value), regex.compile(pattern).findall
