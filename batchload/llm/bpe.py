@@ -276,7 +276,7 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     """`encoded` (doc_id, ids) with `decoded`, the bytes that the ids stand for; null ids give null."""
     shared = ship(encoded.sparkSession, ranks_path)
     rows = encoded.select("doc_id", "ids")
-    schema = rows.schema.add("decoded", "binary")
+    schema = T.StructType([*rows.schema.fields, T.StructField("decoded", T.BinaryType())])
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = _ranks(shared.value)
