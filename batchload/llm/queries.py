@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from batchload.llm import bpe, langid, secrets
+from batchload.llm import bpe, langid, quality, secrets
 from batchload.llm.common import table
 from batchload.llm.mix import mix
 
@@ -95,3 +95,13 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(bpe.ids_text(F.col("ids")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document, learnt from the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", remainder("doc_id", 5) == 0)
+    labels = table(spark, sf_dir, "labels")
+    chain = quality.train(docs.where("NOT held_out"), labels)
+    scored = docs.select("doc_id", "held_out", quality.score(F.col("text"), chain).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
