@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from batchload.llm import bpe, langid, quality, secrets
 from batchload.llm.common import table
 from batchload.llm.mix import mix
+from batchload.llm.topk import top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -105,3 +106,27 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     chain = quality.train(docs.where("NOT held_out"), labels)
     scored = docs.select("doc_id", "held_out", quality.score(F.col("text"), chain).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+@query
+def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best vectors for every vector whose id is divisible by 20."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.where("vec_id % 20 = 0"), 20)
+
+
+ORACLES["op2_top_k"] = """
+    WITH v AS (
+        SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS e
+        FROM embeddings
+        WHERE embedding IS NOT NULL
+          AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    ), s AS (
+        SELECT q.vec_id AS query_id, v.vec_id,
+               CAST(list_sum([q.e[i] * v.e[i] FOR i IN range(1, len(q.e) + 1)]) AS BIGINT) AS score
+        FROM v AS q JOIN v ON q.vec_id <> v.vec_id AND len(q.e) = len(v.e)
+        WHERE q.vec_id % 20 = 0
+    ), r AS (
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s
+    )
+    SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 20"""
