@@ -22,7 +22,7 @@ from batchload.llm.common import stored
 #: A block of the index has so many components; at 64 a row these are 65,536 rows.
 BLOCK_CELLS = 1 << 22
 #: A block of queries has so many.
-QUERY_CELLS = 1 << 14
+QUERY_CELLS = 1 << 15
 
 PACKED = "dims int, part int, ids binary, data binary"
 
@@ -30,25 +30,41 @@ PACKED = "dims int, part int, ids binary, data binary"
 class Slices:
     """The bitmaps of one block: rows in order of their id."""
 
-    def __init__(self, ids: np.ndarray, values: np.ndarray):
-        order = np.argsort(ids, kind="stable")
-        self.ids, values = ids[order], values[order]
+    def __init__(self, ids: np.ndarray, low: np.ndarray, digits: np.ndarray, bitmaps: np.ndarray):
+        self.ids, self.low, self.digits = ids, low, digits.tolist()
         self.n = len(ids)
         self.words = (self.n + 63) // 64
-        self.low = values.min(axis=0)
-        self.digits, self.slices, self.inverse = [], [], []
-        for column in (values - self.low).T:
-            digits = int(column.max()).bit_length()
-            rows = [self.bitmap((column >> b) & 1) for b in range(digits)]
-            self.digits.append(digits)
-            self.slices.append(rows)
-            self.inverse.append([~row for row in rows])
+        rows = bitmaps.reshape(-1, self.words)
+        ends = np.cumsum(digits)
+        self.slices = [list(rows[e - d : e]) for e, d in zip(ends, digits, strict=True)]
+        self.inverse = [[~row for row in slices] for slices in self.slices]
         self.all = self.bitmap(np.ones(self.n, np.int64))
 
+    @classmethod
+    def of(cls, ids: np.ndarray, values: np.ndarray) -> Slices:
+        order = np.argsort(ids, kind="stable")
+        values = values[order]
+        low = values.min(axis=0)
+        places = (np.packbits(_padded((column >> b) & 1), bitorder="little")
+                  for column in (values - low).T for b in range(int(column.max()).bit_length()))
+        digits = np.array([int(top).bit_length() for top in (values - low).max(axis=0)], np.int64)
+        joined = np.concatenate([*places, np.zeros(0, np.uint8)])
+        return cls(ids[order], low, digits, joined.view(np.uint64))
+
+    @classmethod
+    def read(cls, ids: bytes, data: bytes, dims: int) -> Slices:
+        head = np.frombuffer(data, np.int64, 2 * dims)
+        rest = np.frombuffer(data, np.uint64, offset=16 * dims)
+        return cls(np.frombuffer(ids, np.int64), head[:dims], head[dims:], rest)
+
+    def written(self) -> tuple[bytes, bytes]:
+        """(ids, data) for `read`."""
+        rows = [row.tobytes() for slices in self.slices for row in slices]
+        head = np.concatenate([self.low, np.array(self.digits, np.int64)]).astype(np.int64)
+        return self.ids.tobytes(), head.tobytes() + b"".join(rows)
+
     def bitmap(self, bits: np.ndarray) -> np.ndarray:
-        padded = np.zeros(self.words * 64, np.uint8)
-        padded[: self.n] = bits
-        return np.packbits(padded, bitorder="little").view(np.uint64)
+        return np.packbits(_padded(bits), bitorder="little").view(np.uint64)
 
     def sums(self, weights: list[int]) -> tuple[list[np.ndarray | None], int]:
         """The slices of the scores of all rows, lowest place first, and what to add to them."""
@@ -125,6 +141,13 @@ class Slices:
         return np.flatnonzero(np.unpackbits(bitmap.view(np.uint8), bitorder="little"))
 
 
+def _padded(bits: np.ndarray) -> np.ndarray:
+    """Bits as bytes, with zeros up to a whole number of words."""
+    out = np.zeros((len(bits) + 63) // 64 * 64, np.uint8)
+    out[: len(bits)] = bits
+    return out
+
+
 def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: float) -> DataFrame:
     """(id, vector, dims): vectors of longs; rows that take no part are left out."""
     vector = F.col(vector_col)
@@ -138,8 +161,11 @@ def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: float) ->
     )
 
 
-def _packed(rows: DataFrame, cells: int) -> DataFrame:
-    """Blocks of rows of one length as (dims, part, ids, data), dealt by a hash of the id."""
+def _packed(rows: DataFrame, cells: int, sliced: bool) -> DataFrame:
+    """Blocks of rows of one length as (dims, part, ids, data), dealt by a hash of the id.
+
+    data is a matrix of longs, or the slices of the block.
+    """
     sizes = rows.groupBy("dims").agg(F.count("*").alias("n")).collect()
     parts = F.lit(1)
     for row in sizes:  # one row per length of vectors
@@ -148,14 +174,19 @@ def _packed(rows: DataFrame, cells: int) -> DataFrame:
     part = F.pmod(F.xxhash64("id"), parts).cast("int")
 
     def pack(batch: pa.Table) -> pa.Table:
-        ids = batch.column("id").to_numpy()
-        values = batch.column("vector").combine_chunks().flatten().to_numpy()
+        ids = batch.column("id").to_numpy().astype(np.int64)
+        values = batch.column("vector").combine_chunks().flatten().to_numpy().astype(np.int64)
+        data = values.tobytes()
+        if sliced:
+            ids, data = Slices.of(ids, values.reshape(len(ids), -1)).written()
+        else:
+            ids = ids.tobytes()
         return pa.table(
             {
                 "dims": pa.array([batch.column("dims")[0].as_py()], pa.int32()),
                 "part": pa.array([batch.column("part")[0].as_py()], pa.int32()),
-                "ids": pa.array([ids.astype(np.int64).tobytes()], pa.binary()),
-                "data": pa.array([values.astype(np.int64).tobytes()], pa.binary()),
+                "ids": pa.array([ids], pa.binary()),
+                "data": pa.array([data], pa.binary()),
             }
         )
 
@@ -179,9 +210,10 @@ def top_k(
     components take no part, nor do rows without an id. Repeated rows of `vectors` are rows of their
     own; repeated rows of `queries` are one query. An empty table gives no rows.
     """
-    index = _packed(quantised(vectors, id_col, vector_col, scale).where("dims > 0"), BLOCK_CELLS)
+    index = _packed(quantised(vectors, id_col, vector_col, scale).where("dims > 0"), BLOCK_CELLS, True)
     asked = _packed(
-        quantised(queries, id_col, vector_col, scale).where("dims > 0").distinct(), QUERY_CELLS
+        quantised(queries, id_col, vector_col, scale).where("dims > 0").distinct(), QUERY_CELLS,
+        False,
     )
     # Every block of the index meets every block of queries of its length. Both are written once;
     # their numbers are small, and each block is sent once for every block of the other side.
@@ -190,14 +222,13 @@ def top_k(
     pairs = (
         index.join(asked.select("dims", "q"), "dims")
         .join(asked.join(index.select("dims", "part"), "dims"), ["dims", "part", "q"])
-        .select("ids", "data", "q_ids", "q_data")
+        .select("dims", "ids", "data", "q_ids", "q_data")
     )
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                ids = np.frombuffer(row["ids"], np.int64)
-                block = Slices(ids, np.frombuffer(row["data"], np.int64).reshape(len(ids), -1))
+                block = Slices.read(row["ids"], row["data"], row["dims"])
                 query_ids = np.frombuffer(row["q_ids"], np.int64)
                 weights = np.frombuffer(row["q_data"], np.int64).reshape(len(query_ids), -1)
                 found = [
