@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from batchload.llm import bpe, langid, quality, secrets
 from batchload.llm.common import table
 from batchload.llm.mix import mix
+from batchload.llm.neardup import near_duplicates
 from batchload.llm.topk import top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -130,3 +131,9 @@ ORACLES["op2_top_k"] = """
         SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s
     )
     SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 20"""
+
+
+@query
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate links and components of every vector."""
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
