@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from batchload.llm import bpe, langid, quality, secrets
+from batchload.llm import bpe, html, langid, quality, secrets
 from batchload.llm.common import table
 from batchload.llm.mix import mix
 from batchload.llm.neardup import near_duplicates
@@ -137,3 +137,11 @@ ORACLES["op2_top_k"] = """
 def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate links and components of every vector."""
     return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = table(spark, sf_dir, "pages")
+    texts = pages.select("page_id", "url", html.extract(F.col("html")).alias("text"))
+    return texts.withColumn("n_chars", F.length("text").cast("long"))
