@@ -246,9 +246,10 @@ def first_pass(block: Block, text: str, main: int):
     return GOOD if links <= FEW_LINKS and (density >= DENSE or len(text) >= LONG) else UNSURE
 
 
-def second_pass(labels: list, chrome: list[bool], otherwise) -> list:
-    """Labels with every UNSURE one replaced: as the decided blocks before and behind it where they
-    agree, else as the nearer one, else (as near) as the one behind for headings' sake.
+def second_pass(labels: list, chrome: list[bool], headings: list[bool], otherwise) -> list:
+    """Labels with every UNSURE one replaced by that of the nearest decided block, before or behind.
+
+    Where both are as near, a heading goes with the block behind it, other blocks with the one before.
 
     Blocks that `chrome` marks keep their label and are no neighbours; without any decided
     neighbour a block becomes `otherwise`.
@@ -274,7 +275,7 @@ def second_pass(labels: list, chrome: list[bool], otherwise) -> list:
         elif a is None or b is None:
             out[k] = labels[b if a is None else a]
         else:
-            out[k] = labels[a] if k - a < b - k else labels[b]
+            out[k] = labels[a] if k - a < b - k + (not headings[k]) else labels[b]
     return out
 
 
@@ -284,7 +285,8 @@ def main_text(page: str | None) -> str:
     main = max((block.main for block, _ in found if not block.chrome), default=0)
     labels = [first_pass(block, text, main) for block, text in found]
     outside = [block.chrome or block.main < main for block, _ in found]
-    labels = second_pass(labels, outside, GOOD if main else BAD)
+    headings = [block.heading for block, _ in found]
+    labels = second_pass(labels, outside, headings, GOOD if main else BAD)
     return " ".join(text for (_, text), label in zip(found, labels, strict=True) if label == GOOD)
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from batchload.llm import bpe, html, langid, quality, secrets
+from batchload.llm import bpe, html, langid, licenses, quality, secrets
 from batchload.llm.common import table
 from batchload.llm.mix import mix
 from batchload.llm.neardup import near_duplicates
@@ -145,3 +145,9 @@ def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     texts = pages.select("page_id", "url", html.extract(F.col("html")).alias("text"))
     return texts.withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The license notices in every document."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
