@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from batchload.llm import bpe, html, langid, licenses, quality, secrets
 from batchload.llm.common import table
+from batchload.llm.jaccard import similar_documents
 from batchload.llm.mix import mix
 from batchload.llm.neardup import near_duplicates
 from batchload.llm.topk import top_k
@@ -151,3 +152,9 @@ def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The license notices in every document."""
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the component of documents that its shingles link it to."""
+    return similar_documents(table(spark, sf_dir, "documents"))
