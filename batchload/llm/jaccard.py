@@ -144,11 +144,11 @@ def keys_of(elements: np.ndarray, rule: Similarity) -> np.ndarray:
             break
         if level.high < size:
             continue
-        sums = np.concatenate([[0], np.cumsum(mix64(elements + np.uint64(1)), dtype=np.uint64)])
-        sums = sums.astype(np.uint64)
+        sums = np.zeros(size + 1, np.uint64)
+        np.cumsum(mix64(elements + np.uint64(1)), out=sums[1:])
         ends = np.searchsorted(elements, level.bounds, side="right")
         upto = sums[ends]
-        parts = upto - np.concatenate([[np.uint64(0)], upto[:-1]])
+        parts = np.diff(upto, prepend=np.uint64(0))
         keys = mix64(mix64(parts) + level.seeds)
         keys = (keys & ~np.uint64(63)) | np.uint64(level.number)
         kept = rule.most_different(size + min(level.high, largest)) + 1 + level.spare
