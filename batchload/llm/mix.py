@@ -30,9 +30,12 @@ SETTLE_ROUNDS = 4
 TOLERANCE = 1e-10
 
 
-def sizes(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+def sizes(
+    docs: DataFrame, id_col: str, text_col: str, source_col: str, *others: str
+) -> DataFrame:
     """(doc_id, source, size): the number of words of every row; 0 where the text is null."""
     return docs.select(
+        *others,
         F.col(id_col).alias("doc_id"),
         F.col(source_col).alias("source"),
         F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0))
@@ -256,18 +259,45 @@ def mix(
     Rows that share id, source and size share one decision. An empty table gives no rows. Other
     columns of `docs` play no part. The result follows from the rows alone, so reruns agree.
     """
-    rows = sizes(docs, id_col, text_col, source_col)
-    rows = stored(rows)
+    rows = stored(sizes(docs, id_col, text_col, source_col))
     decided = plan(rows, weights, share, cap)
-    few = decided.count() <= BROADCAST_ROWS
-    decided = (F.broadcast(decided) if few else decided).alias("p")
-    joined = rows.alias("r").join(
-        decided, F.expr("r.source <=> p.source AND r.size = p.size"), "left"
-    )
-    more = F.coalesce(rank_hash("r.doc_id") <= F.col("last"), F.lit(False)).cast("long")
-    return joined.select(
-        "r.doc_id", "r.source", "r.size", "source_size", "target",
-        F.when(F.col("r.size") > 0, F.col("copies") + more).otherwise(F.lit(0)).cast("long")
-        .alias("copies"),
+    return _decided(rows, decided).select(
+        "doc_id", "source", "size", "source_size", "target", "copies"
     )
 
+
+def repeated(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    weights: tuple = (5, 2, 1),
+    share: float = 1.5,
+    cap: float = 2.0,
+) -> DataFrame:
+    """`docs` with every row as often as the mix of the same parameters takes it.
+
+    All columns stay as they are, whatever their names. See `mix` for what each case gives.
+    """
+    rows = sizes(docs, id_col, text_col, source_col)
+    decided = plan(stored(rows), weights, share, cap)
+    kept = F.struct("*").alias("row")
+    whole = sizes(docs.select(id_col, text_col, source_col, kept), id_col, text_col, source_col, "row")
+    taken = _decided(whole, decided).where("copies > 0")
+    times = F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))
+    return taken.select("row", times.alias("again")).select("row.*")
+
+
+def _decided(rows: DataFrame, decided: DataFrame) -> DataFrame:
+    """`rows` (doc_id, source, size, ...) with what the plan says of their source and size."""
+    few = decided.count() <= BROADCAST_ROWS
+    decided = decided.withColumnsRenamed({"source": "of_source", "size": "of_size"})
+    decided = F.broadcast(decided) if few else decided
+    joined = rows.join(
+        decided,
+        F.col("source").eqNullSafe(F.col("of_source")) & (F.col("size") == F.col("of_size")),
+        "left",
+    )
+    more = F.coalesce(rank_hash("doc_id") <= F.col("last"), F.lit(False)).cast("long")
+    copies = F.when(F.col("size") > 0, F.col("copies") + more).otherwise(F.lit(0)).cast("long")
+    return joined.withColumn("copies", copies)
