@@ -1,12 +1,103 @@
-"""The corpus pipeline: stages of operators from `batchload.llm`, one after the other."""
+"""The corpus pipeline: five stages of operators from `batchload.llm`.
+
+Each stage takes the documents that the one before has kept, and works on all of them. `run` writes
+every stage's rows to the shared folder and reads them again as the next one's documents.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from batchload.llm import bpe, langid, mix, secrets
+from batchload.llm.common import stored, table
+from batchload.llm.jaccard import similar_documents
+
+#: Up to so many ids of removed documents are broadcast; more are joined by shuffle.
+BROADCAST_ROWS = 1_000_000
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is recognised; a missing `lang` becomes the one recognised.
+
+    Documents whose text is null, holds no letter or is like none of the languages are rejected.
+    The models learn from the texts of `docs` that have a language.
+    """
+    found = langid.train(docs)
+    said = docs.select(
+        F.struct("*").alias("row"), langid.identify(F.col("text"), found, spark).alias("said")
+    ).where("NOT said.rejected")
+    filled = {name: F.col(f"row.`{name}`") for name in docs.columns}
+    filled["lang"] = F.coalesce(filled["lang"], "said.lang")
+    return said.select(*[column.alias(name) for name, column in filled.items()])
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of similar ones: the one with the smallest id.
+
+    Of rows that repeat an id, the first by text (then by the other columns) stays. Rows without an
+    id are in no group and stay.
+    """
+    grouped = stored(similar_documents(docs))
+    removed = grouped.where("component_id <> doc_id").select("doc_id").distinct()
+    few = removed.count() <= BROADCAST_ROWS
+    kept = docs.join(F.broadcast(removed) if few else removed, "doc_id", "left_anti")
+    ids = grouped.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("k"))
+    repeated = stored(ids.where("k > 1").select("doc_id"))
+    n = repeated.count()
+    if not n:
+        return kept.select(docs.columns)
+    ids = F.broadcast(repeated) if n <= BROADCAST_ROWS else repeated
+    order = Window.partitionBy("doc_id").orderBy("text", *[c for c in docs.columns if c != "text"])
+    again = kept.join(ids, "doc_id", "left_semi").select(
+        F.struct(docs.columns).alias("row"), F.row_number().over(order).alias("place")
+    )
+    first = again.where("place = 1").select("row.*")
+    return kept.join(ids, "doc_id", "left_anti").select(docs.columns).unionByName(first)
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with every secret in their texts replaced by a mark."""
+    models = secrets.train(docs)
+    clean = docs.withColumn("text", secrets.redact(F.col("text"), models))
+    return clean.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as its source's target weight asks for, not at all included."""
+    return mix.repeated(docs)
+
+
+def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, n_tokens, ids, decoded_sha256) of every row: its ids, and a digest of the bytes
+    that they decode to."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    decoded = bpe.decode(bpe.encode(docs, path, public_tokenizers.PATTERN), path)
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        "ids",
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("near_duplicates", near_duplicates),
+    ("secret_scan", secret_scan),
+    ("mix_sources", mix_sources),
+    ("byte_bpe", byte_bpe),
+]
 
-STAGES: list = []
+#: Trained models, hashes and merges: no stage but the joins can be said in SQL. The tests compare
+#: the stages with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
