@@ -3,15 +3,15 @@
 Documents whose shingle sets are similar enough differ in few shingles, at most 3/37 of both sizes
 together at a similarity of 0.85. The hash range is cut into more parts than that, their number
 given by a band of sizes, so that both documents are equal in several parts. Each document lists the
-parts it has (a key per part); documents with a key in common form a tile. Keys are dropped as far
-as the surplus of equal parts allows, the most frequent ones first, so that text that very many
-documents share makes no large tiles.
-
-Every tile is first tried as a star around one document, which joins near copies with few comparisons.
-Tiles that still hold several components are cut by size into tiles of bounded length and compared
-with each other where their sizes permit: the bits in which two hashed bitmap signatures differ
-bound the overlap from above, and what passes is decided by exact intersection of sorted arrays.
-No pair of similar documents is left out, and pairs within a component are not listed.
+parts it has (a key per part). Keys are dropped as far as the surplus of equal parts allows, the most
+frequent ones first, so that text that very many documents share brings no large groups together.
+
+Each key makes the smallest of its documents the hub of a star with all others. Comparing them with
+the hub first joins near copies with few comparisons. Stars that still hold several components are cut
+by size into tiles of bounded length, and tiles are compared with each other where their sizes permit:
+the bits in which two hashed bitmap signatures differ bound the overlap from above, and what passes is
+decided by exact intersection of sorted arrays. No pair of similar documents is left out, and pairs
+within a component are not listed.
 """
 
 from __future__ import annotations
@@ -32,6 +32,9 @@ from batchload.llm.common import components, mix64, stored
 BROADCAST_ROWS = 1_000_000
 #: Rows of a tile at the comparison.
 TILE = 1024
+#: Rows compared with the other tile at once, and pairs of bitmaps.
+CHUNK = 64
+PAIRS = 4096
 #: A size band ends at this multiple of its start.
 BAND = 1.4
 LEVELS = 64
@@ -159,8 +162,8 @@ def keys_of(elements: np.ndarray, rule: Similarity) -> np.ndarray:
 
 
 def signature(elements: np.ndarray) -> bytes:
-    """A bitmap of one bit per element, by its last bits; at least twice as many bits as elements."""
-    bits = max(64, 1 << (2 * max(1, len(elements)) - 1).bit_length())
+    """A bitmap of one bit per element, by its last bits; at least 16 times as many bits as elements."""
+    bits = max(64, 1 << (16 * max(1, len(elements)) - 1).bit_length())
     bitmap = np.zeros(bits, np.uint8)
     bitmap[(elements & np.uint64(bits - 1)).astype(np.int64)] = 1
     return np.packbits(bitmap, bitorder="little").tobytes()
@@ -175,7 +178,7 @@ def folded(bitmap: np.ndarray, words: int) -> np.ndarray:
 
 
 def described(docs: DataFrame, n: int, rule: Similarity) -> DataFrame:
-    """(doc_id, n_shingles, node, keys, bitmap) for every row of (doc_id, text).
+    """(doc_id, n_shingles, node, keys) for every row of (doc_id, text).
 
     `node` is a hash of the set, so that equal sets are one node; null without shingles.
     """
@@ -183,7 +186,7 @@ def described(docs: DataFrame, n: int, rule: Similarity) -> DataFrame:
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler(n)
         for batch in batches:
-            sizes, nodes, keys, offsets, bitmaps = [], [], [], [0], []
+            sizes, nodes, keys, offsets = [], [], [], [0]
             texts = batch.column(1)
             for row in range(batch.num_rows):
                 elements = shingles(texts[row].as_py())
@@ -191,7 +194,6 @@ def described(docs: DataFrame, n: int, rule: Similarity) -> DataFrame:
                 nodes.append(set_hash(elements) if len(elements) else None)
                 keys.append(keys_of(elements, rule))
                 offsets.append(offsets[-1] + len(keys[-1]))
-                bitmaps.append(signature(elements) if len(keys[-1]) else None)
             flat = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -201,21 +203,20 @@ def described(docs: DataFrame, n: int, rule: Similarity) -> DataFrame:
                     pa.ListArray.from_arrays(
                         pa.array(offsets, pa.int32()), pa.array(flat.view(np.int64), pa.int64())
                     ),
-                    pa.array(bitmaps, pa.binary()),
                 ],
-                names=["doc_id", "n_shingles", "node", "keys", "bitmap"],
+                names=["doc_id", "n_shingles", "node", "keys"],
             )
 
-    schema = "doc_id long, n_shingles long, node long, keys array<long>, bitmap binary"
+    schema = "doc_id long, n_shingles long, node long, keys array<long>"
     return docs.mapInArrow(describe, schema)
 
 
 def listed(rows: DataFrame, rule: Similarity) -> DataFrame:
-    """(key, node, size): the keys that different nodes share, less those that can be dropped."""
-    each = rows.select("node", F.col("n_shingles").alias("size"), F.explode("keys").alias("key"))
+    """(key, node): the keys that several rows have, less those that can be dropped."""
+    each = rows.select("node", F.explode("keys").alias("key"))
     shared = each.groupBy("key").agg(F.count("*").alias("rows")).where("rows > 1")
     held = each.join(shared, "key").groupBy("key", "node").agg(
-        F.first("rows").alias("rows"), F.first("size").alias("size")
+        F.first("rows").alias("rows")
     )
     level = F.col("key").bitwiseAND(F.lit(63))
     spare = F.element_at(
@@ -223,11 +224,11 @@ def listed(rows: DataFrame, rule: Similarity) -> DataFrame:
     )
     order = Window.partitionBy("node", level).orderBy(F.desc("rows"), F.desc("key"))
     held = held.withColumn("place", F.row_number().over(order)).where(F.col("place") > spare)
-    return stored(held.select("key", "node", "size"))
+    return stored(held.select("key", "node"))
 
 
 def sets_of(docs: DataFrame, rows: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
-    """(node, elements): the shingle sets of some nodes, from the text of one document each."""
+    """(node, elements, bitmap): the shingle sets of some nodes, from the text of one document each."""
     wanted = stored(
         rows.select("doc_id", "node").join(nodes, "node", "left_semi")
         .groupBy("node").agg(F.min("doc_id").alias("doc_id"))
@@ -244,17 +245,23 @@ def sets_of(docs: DataFrame, rows: DataFrame, nodes: DataFrame, n: int) -> DataF
                 [
                     pa.array([set_hash(x) if len(x) else None for x in found], pa.int64()),
                     pa.array([x.tobytes() for x in found], pa.binary()),
+                    pa.array([signature(x) for x in found], pa.binary()),
                 ],
-                names=["node", "elements"],
+                names=["node", "elements", "bitmap"],
             )
 
-    found = texts.mapInArrow(shingled, "node long, elements binary").where("node IS NOT NULL")
+    found = texts.mapInArrow(shingled, "node long, elements binary, bitmap binary")
     # An id that several rows share brings their other sets along; a set found twice is one.
-    return stored(found.groupBy("node").agg(F.first("elements").alias("elements")))
+    return stored(
+        found.where("node IS NOT NULL").groupBy("node").agg(
+            F.first("elements").alias("elements"), F.first("bitmap").alias("bitmap")
+        )
+    )
 
 
 def verified(pairs: DataFrame, sets: DataFrame, rule: Similarity) -> DataFrame:
     """The pairs (a, b) of nodes whose sets link."""
+    sets = sets.select("node", "elements")
     second = pairs.join(sets.withColumnsRenamed({"node": "b", "elements": "b_set"}), "b")
     both = second.join(sets.withColumnsRenamed({"node": "a", "elements": "a_set"}), "a")
 
@@ -275,52 +282,54 @@ def verified(pairs: DataFrame, sets: DataFrame, rule: Similarity) -> DataFrame:
 
 
 def stars(held: DataFrame) -> DataFrame:
-    """(a, b): every node with the smallest node of each of its keys."""
-    hubs = held.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a < z")
-    return (
-        held.join(hubs, "key").where("node <> a").select("a", F.col("node").alias("b")).distinct()
+    """(hub, node): every node with the smallest node of each of its keys."""
+    hubs = held.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("z"))
+    return stored(
+        held.join(hubs.where("hub < z"), "key").where("node <> hub").select("hub", "node").distinct()
     )
 
 
-def tiled(held: DataFrame, joined: DataFrame, rows: DataFrame, rule: Similarity) -> DataFrame:
-    """(a, b): pairs of nodes in different components, with a key in common, that may link.
+def tiled(star: DataFrame, joined: DataFrame, sets: DataFrame, rule: Similarity) -> DataFrame:
+    """(a, b): pairs of nodes in different components that may link.
 
-    Compared by size and by bitmap, in tiles.
+    Nodes with a key in common are in the star of that key's hub, so each star is compared within
+    itself, by size and by bitmap. Nodes come once per star, however many keys they share.
     """
+    rest = star.unionByName(star.select("hub", F.col("hub").alias("node")).distinct())
     component = F.coalesce("component", "node").alias("component")
-    held = held.join(joined, "node", "left").select("key", "node", "size", component)
-    open_ = held.groupBy("key").agg(
+    rest = rest.join(joined, "node", "left").select("hub", "node", component)
+    open_ = rest.groupBy("hub").agg(
         F.min("component").alias("low"), F.max("component").alias("high")
-    ).where("low < high").select("key")
-    rest = held.join(open_, "key", "left_semi")
-    place = F.row_number().over(Window.partitionBy("key").orderBy("size", "node"))
-    rest = rest.withColumn("tile", F.floor((place - 1) / TILE).cast("int"))
-    bitmaps = rows.where("bitmap IS NOT NULL").groupBy("node").agg(F.first("bitmap").alias("bitmap"))
-    rest = stored(rest.join(bitmaps, "node"))
-    sizes = rest.groupBy("key", "tile").agg(
+    ).where("low < high").select("hub")
+    rest = rest.join(open_, "hub", "left_semi").join(
+        sets.select("node", (F.octet_length("elements") / 8).cast("long").alias("size")), "node"
+    )
+    place = F.row_number().over(Window.partitionBy("hub").orderBy("size", "node"))
+    rest = stored(rest.withColumn("tile", F.floor((place - 1) / TILE).cast("int")))
+    sizes = rest.groupBy("hub", "tile").agg(
         F.min("size").alias("least"), F.max("size").alias("most")
     )
     x, y = sizes.alias("x"), sizes.alias("y")
-    met = x.join(y, F.expr("x.key = y.key AND x.tile <= y.tile "
+    met = x.join(y, F.expr("x.hub = y.hub AND x.tile <= y.tile "
                            f"AND y.least * {rule.percent} <= x.most * 100")).select(
-        "x.key", F.col("x.tile").alias("one"), F.col("y.tile").alias("two")
+        "x.hub", F.col("x.tile").alias("one"), F.col("y.tile").alias("two")
     )
     met = stored(met)
-    sides = rest.join(met.withColumn("tile", F.col("one")), ["key", "tile"]).unionByName(
-        rest.join(met.where("one < two").withColumn("tile", F.col("two")), ["key", "tile"])
+    sides = rest.join(met.withColumn("tile", F.col("one")), ["hub", "tile"]).unionByName(
+        rest.join(met.where("one < two").withColumn("tile", F.col("two")), ["hub", "tile"])
     )
-    dealt = sides.repartition("key", "one", "two").sortWithinPartitions("key", "one", "two", "tile")
+    sides = sides.join(sets.select("node", "bitmap"), "node")
+    dealt = sides.repartition("hub", "one", "two").sortWithinPartitions("hub", "one", "two", "tile")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held_back, last = [], None
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("key", "one", "two")]
-            rows = zip(*columns, batch.to_pylist(), strict=True)
-            for key, one, two, row in rows:
-                if last is not None and last != (key, one, two):
+            for row in batch.to_pylist():
+                tiles = row["hub"], row["one"], row["two"]
+                if last is not None and last != tiles:
                     yield _passing(held_back, rule)
                     held_back = []
-                last = (key, one, two)
+                last = tiles
                 held_back.append(row)
         if held_back:
             yield _passing(held_back, rule)
@@ -329,29 +338,46 @@ def tiled(held: DataFrame, joined: DataFrame, rows: DataFrame, rule: Similarity)
 
 
 def _passing(rows: list[dict], rule: Similarity) -> pa.RecordBatch:
-    """Pairs of one tile with itself, or of two tiles, that size and bitmaps let pass."""
+    """Pairs of one tile with itself, or of two tiles, that size and bitmaps let pass.
+
+    The bitmaps are compared folded to few words first, what passes then in full.
+    """
     words = min(len(row["bitmap"]) for row in rows) // 8
-    bitmaps = np.stack([folded(np.frombuffer(row["bitmap"], np.uint64), words) for row in rows])
+    full = np.stack([folded(np.frombuffer(row["bitmap"], np.uint64), words) for row in rows])
+    short = np.stack([folded(row, max(1, words // 8)) for row in full])
     size, node, component, tile = (
         np.array([row[name] for row in rows], np.int64)
         for name in ("size", "node", "component", "tile")
     )
-    across = tile[0] != tile[-1]
+    second = np.flatnonzero(tile != tile[0])
+    across = len(second) > 0
+    first = np.flatnonzero(tile == tile[0]) if across else np.arange(len(rows))
+    second = second if across else first
     a_out, b_out = [], []
-    for k in range(len(rows)):
-        others = np.flatnonzero(tile != tile[k]) if across else np.arange(k + 1, len(rows))
-        if across and tile[k] != tile[0]:
-            break
-        both = size[k] + size[others]
-        ok = (component[others] != component[k]) & (
-            np.minimum(size[others], size[k]) * 100 >= rule.percent * np.maximum(size[others], size[k])
-        )
-        others, both = others[ok], both[ok]
-        differ = np.bitwise_count(bitmaps[others] ^ bitmaps[k]).sum(axis=1, dtype=np.int64)
-        overlap = (both - differ) // 2
-        others = others[100 * overlap >= rule.percent * (both - overlap)]
-        a_out.append(np.minimum(node[others], node[k]))
-        b_out.append(np.maximum(node[others], node[k]))
+
+    def near(x: np.ndarray, y: np.ndarray, differ: np.ndarray) -> np.ndarray:
+        overlap = (size[x] + size[y] - differ) // 2
+        return 100 * overlap >= rule.percent * (size[x] + size[y] - overlap)
+
+    for at in range(0, len(first), CHUNK):
+        x = first[at : at + CHUNK]
+        least, most = np.minimum.outer(size[x], size[second]), np.maximum.outer(size[x], size[second])
+        ok = (100 * least >= rule.percent * most) & (component[x][:, None] != component[second])
+        if not across:
+            ok &= x[:, None] < second
+        i, j = np.nonzero(ok)
+        x, y = x[i], second[j]
+        for bitmaps in (short, full):
+            if len(x):
+                differ = np.concatenate([
+                    np.bitwise_count(bitmaps[x[k : k + PAIRS]] ^ bitmaps[y[k : k + PAIRS]])
+                    .sum(axis=1, dtype=np.int64)
+                    for k in range(0, len(x), PAIRS)
+                ])
+                passed = near(x, y, differ)
+                x, y = x[passed], y[passed]
+        a_out.append(np.minimum(node[x], node[y]))
+        b_out.append(np.maximum(node[x], node[y]))
     empty = [np.zeros(0, np.int64)]
     return pa.RecordBatch.from_arrays(
         [pa.array(np.concatenate(a_out or empty)), pa.array(np.concatenate(b_out or empty))],
@@ -376,8 +402,9 @@ def similar_documents(
     named = rows.where("doc_id IS NOT NULL AND node IS NOT NULL")
     held = listed(named, rule)
     sets = sets_of(docs, named, held.select("node").distinct(), n)
-    links = verified(stars(held), sets, rule)
-    more = tiled(held, components(links).select("node", "component"), named, rule)
+    star = stars(held)
+    links = verified(star.select(F.col("hub").alias("a"), F.col("node").alias("b")), sets, rule)
+    more = tiled(star, components(links), sets, rule)
     links = links.unionByName(verified(more, sets, rule))
     # Components of nodes, named by their smallest document.
     classes = stored(named.groupBy("node").agg(F.min("doc_id").alias("low")))
