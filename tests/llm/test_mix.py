@@ -1,0 +1,127 @@
+"""Mixing: targets against filling by hand, rates against a plain solution, copies against both."""
+
+from __future__ import annotations
+
+import math
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from batchload.llm import mix
+from batchload.llm.queries import QUERIES
+
+
+def filled(sizes, weights, share, cap):
+    """Targets by resharing the excess by weight until none is above its cap."""
+    order = sorted(sizes, key=lambda s: (s is None, s))
+    weight = {s: weights[k % len(weights)] for k, s in enumerate(order)}
+    left, open_, out = share * sum(sizes.values()), set(order), {}
+    while open_:
+        level = left / sum(weight[s] for s in open_)
+        above = {s for s in open_ if weight[s] * level >= cap * sizes[s]}
+        if not above:
+            out.update({s: weight[s] * level for s in open_})
+            return out
+        out.update({s: cap * sizes[s] for s in above})
+        left -= sum(cap * sizes[s] for s in above)
+        open_ -= above
+    return out
+
+
+@pytest.mark.parametrize(
+    ("sizes", "share"),
+    [
+        ({"a": 100, "b": 50, "c": 10, None: 70}, 1.5),
+        ({"a": 5, "b": 5000, "é": 3, "z": 900, "Z": 40}, 1.5),
+        ({"a": 10, "b": 1000}, 0.1),
+        ({"a": 10, "b": 10}, 2.0),
+        ({None: 10}, 1.5),
+        ({"a": 0, "b": 10}, 1.5),
+    ],
+)
+def test_targets(spark, sizes, share):
+    rows = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+    got = {r["source"]: r["target"] for r in mix.targets(rows, (5, 2, 1), share, 2.0).collect()}
+    expected = filled(sizes, (5, 2, 1), share, 2.0)
+    assert got.keys() == expected.keys()
+    assert all(math.isclose(got[s], expected[s], abs_tol=1e-9) for s in got)
+
+
+def test_rates_solve_the_dual(spark):
+    sizes = {"a": [1, 1, 5, 40, 300], "b": [7] * 4, "c": [2, 900, 3], "d": [10, 20]}
+    goals = {"a": 120.0, "b": 50.0, "c": 900.5, "d": 60.0}
+    rows = [(s, n, values.count(n)) for s, values in sizes.items() for n in sorted(set(values))]
+    histogram = spark.createDataFrame(rows, "source string, size long, n long")
+    goal_rows = [(s, sum(values), goals[s]) for s, values in sizes.items()]
+    goal = spark.createDataFrame(goal_rows, "source string, source_size long, target double")
+    rates = {(r["source"], r["size"]): r["rate"] for r in mix.balance(histogram, goal, 2.0).collect()}
+    for s, values in sizes.items():
+        assert math.isclose(sum(n * rates[s, n] for n in values), goals[s], rel_tol=1e-8)
+        mean = sum(values) / len(values)
+        tilts = {round(math.log(rates[s, n]) / (n / mean), 6) for n in values if rates[s, n] < 2 - 1e-12}
+        assert len(tilts) <= 1, "one lambda per source, but where the rate is capped"
+
+
+def check(rows, weights=(5, 2, 1), share=1.5, cap=2):
+    """rows: (source, size, target, copies)."""
+    sizes, taken, target, longest = {}, {}, {}, {}
+    for source, size, goal, copies in rows:
+        assert 0 <= copies <= cap and (size > 0 or copies == 0)
+        sizes[source] = sizes.get(source, 0) + size
+        taken[source] = taken.get(source, 0) + size * copies
+        longest[source] = max(longest.get(source, 0), size)
+        target[source] = goal
+    expected = filled(sizes, weights, share, cap)
+    for source in sizes:
+        assert math.isclose(target[source], expected[source], rel_tol=1e-9, abs_tol=1e-9)
+        assert abs(taken[source] - target[source]) <= max(longest[source], 1)
+
+
+def test_documents(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    query = QUERIES["op7_mix_sources"]
+    got = {r["doc_id"]: r for r in query(spark, sf_dir).collect()}
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+    assert len(got) == len(docs)
+    rows = []
+    for d in docs:
+        r = got[d["doc_id"]]
+        assert r["size"] == len(re.findall(r"[^\x20\x09-\x0D]+", d["text"] or ""))
+        rows.append((d["source"], r["size"], r["target"], r["taken"] // r["size"] if r["size"] else 0))
+        assert r["taken"] % max(1, r["size"]) == 0
+    check(rows)
+    again = {r["doc_id"]: r["taken"] for r in query(spark, sf_dir).collect()}
+    assert again == {i: r["taken"] for i, r in got.items()}
+
+
+def test_one_size_in_one_source(spark):
+    """Equal documents: as many of them get another copy as the target asks for."""
+    rows = [(i, "w " * 10, "a") for i in range(1000)] + [(i, "w " * 10, "b") for i in range(1000, 1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mix.mix(docs)
+    check([(r["source"], r["size"], r["target"], r["copies"]) for r in got.collect()])
+
+
+def test_odd_rows(spark, documents, odd_rows):
+    docs = documents(odd_rows)
+    got = mix.mix(docs).collect()
+    assert len(got) == len(odd_rows)
+    assert all(r["size"] == 0 and r["copies"] == 0 for r in got if r["doc_id"] in (3, 4, 5))
+    check([(r["source"], r["size"], r["target"], r["copies"]) for r in got])
+    whole = mix.repeated(docs)
+    assert whole.columns == docs.columns
+    times = {(r["doc_id"], r["size"]): r["copies"] for r in got}
+    found = whole.groupBy("doc_id", F.size(F.split(F.trim("text"), r"\s+")).alias("s")).count().collect()
+    rows_of = {}
+    for r in got:
+        rows_of[r["doc_id"], r["size"]] = rows_of.get((r["doc_id"], r["size"]), 0) + 1
+    expected = {k: n * times[k] for k, n in rows_of.items() if times[k]}
+    assert {(r["doc_id"], r["s"]): r["count"] for r in found} == expected
+
+
+def test_empty_tables(spark, documents):
+    assert mix.mix(documents([])).count() == 0
+    assert mix.repeated(documents([])).count() == 0
+    wordless = documents([(1, "", "en", "a"), (2, None, "en", None)])
+    assert [r["copies"] for r in mix.mix(wordless).collect()] == [0, 0]
