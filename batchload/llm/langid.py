@@ -190,8 +190,11 @@ class Identifier:
     def entropies(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(sums, n): per text and language the sum of -log p, and the characters counted.
 
-        Texts without a letter count 0.
+        Texts without a letter count 0. Without languages, texts with one count 1.
         """
+        if not self.langs:
+            letter = [any(map(str.isalpha, text)) for text in texts]
+            return np.zeros((len(texts), 0)), np.array(letter, np.int64)
         pieces, owner = [], []
         for i, text in enumerate(texts):
             for at in range(0, len(text), PIECE):
@@ -240,19 +243,18 @@ class Identifier:
         """lang, score, rejected, entropy for every text.
 
         `lang` is the nearest language even where `rejected` is true, or null where the text is
-        null or has no letter. Ties go to the first language by name.
+        null or has no letter. Ties go to the first language by name. Without languages `lang` is
+        null, and only texts without a letter are rejected.
         """
         sums, n = self.entropies([text or "" for text in texts])
         mean = sums / np.maximum(n, 1)[:, None]
-        none = (n == 0) | (len(self.langs) == 0)
+        none = n == 0
         if not self.langs:
-            nearest, score, lowest = np.zeros(len(texts), int), np.zeros(len(texts)), mean.sum(axis=1)
-            limit = np.zeros(len(texts))
-        else:
-            nearest, lowest = mean.argmin(axis=1), mean.min(axis=1)
-            apart = np.exp(-self.sharpness * np.sqrt(n)[:, None] * (mean - lowest[:, None]))
-            score = 1 / apart.sum(axis=1)
-            limit = self.limits[nearest] + SHORT_ROOM / np.sqrt(np.maximum(n, 1))
+            return pd.DataFrame({"lang": None, "score": 0.0, "rejected": none, "entropy": 0.0})
+        nearest, lowest = mean.argmin(axis=1), mean.min(axis=1)
+        apart = np.exp(-self.sharpness * np.sqrt(n)[:, None] * (mean - lowest[:, None]))
+        score = 1 / apart.sum(axis=1)
+        limit = self.limits[nearest] + SHORT_ROOM / np.sqrt(np.maximum(n, 1))
         return pd.DataFrame(
             {
                 "lang": [None if x else self.langs[k] for x, k in zip(none, nearest, strict=True)],
@@ -271,7 +273,7 @@ def train(
     TRAIN_DOCS documents per language are expected in the sample that trains, CALIBRATE_DOCS others
     in the one that calibrates; both are chosen by a hash of the id, and documents above
     SAMPLE_CHARS are in neither. n-grams are counted on the executors; the driver gets the counts
-    of the sample. Without any labelled text there are no languages, and every text is rejected.
+    of the sample. Without any labelled text there are no languages.
     """
     labelled = docs.select(
         F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(2**30)).alias("h"),
