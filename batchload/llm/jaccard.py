@@ -227,11 +227,10 @@ def listed(rows: DataFrame, rule: Similarity) -> DataFrame:
     return stored(held.select("key", "node"))
 
 
-def sets_of(docs: DataFrame, rows: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
+def sets_of(docs: DataFrame, classes: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
     """(node, elements, bitmap): the shingle sets of some nodes, from the text of one document each."""
     wanted = stored(
-        rows.select("doc_id", "node").join(nodes, "node", "left_semi")
-        .groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+        classes.join(nodes, "node", "left_semi").select("node", F.col("low").alias("doc_id"))
     )
     few = wanted.count() <= BROADCAST_ROWS
     ids = wanted.select("doc_id").distinct()
@@ -401,13 +400,13 @@ def similar_documents(
     rows = stored(described(docs, n, rule))
     named = rows.where("doc_id IS NOT NULL AND node IS NOT NULL")
     held = listed(named, rule)
-    sets = sets_of(docs, named, held.select("node").distinct(), n)
+    classes = stored(named.groupBy("node").agg(F.min("doc_id").alias("low")))
+    sets = sets_of(docs, classes, held.select("node").distinct(), n)
     star = stars(held)
     links = verified(star.select(F.col("hub").alias("a"), F.col("node").alias("b")), sets, rule)
     more = tiled(star, components(links), sets, rule)
     links = links.unionByName(verified(more, sets, rule))
     # Components of nodes, named by their smallest document.
-    classes = stored(named.groupBy("node").agg(F.min("doc_id").alias("low")))
     doc_edges = (
         links.join(classes.withColumnsRenamed({"node": "a", "low": "x"}), "a")
         .join(classes.withColumnsRenamed({"node": "b", "low": "y"}), "b")
