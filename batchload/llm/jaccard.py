@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from batchload.llm.common import components, mix64, stored
+from batchload.llm.common import components, mix64, small_batches, stored
 
 #: Up to so many ids are broadcast to pick the texts of candidates; more are joined by shuffle.
 BROADCAST_ROWS = 1_000_000
@@ -35,10 +35,12 @@ TILE = 1024
 #: Rows compared with the other tile at once, and pairs of bitmaps.
 CHUNK = 64
 PAIRS = 4096
+#: Pairs of whole sets that Python holds at once.
+PAIR_BATCH = 500
 #: A size band ends at this multiple of its start.
 BAND = 1.4
 LEVELS = 64
-KEPT_WORDS = 400_000
+KEPT_WORDS = 200_000
 
 
 @dataclass(frozen=True)
@@ -277,7 +279,8 @@ def verified(pairs: DataFrame, sets: DataFrame, rule: Similarity) -> DataFrame:
                 keep.append(100 * common >= rule.percent * union)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return stored(both.select("a", "b", "a_set", "b_set").mapInArrow(check, "a long, b long"))
+    with small_batches(both.sparkSession, PAIR_BATCH):
+        return stored(both.select("a", "b", "a_set", "b_set").mapInArrow(check, "a long, b long"))
 
 
 def stars(held: DataFrame) -> DataFrame:

@@ -28,7 +28,7 @@ CALIBRATE_DOCS = 500
 SAMPLE_CHARS = 20_000
 #: Texts longer than this are scored in pieces whose sums are added.
 PIECE = 500_000
-BLOCK = 2_000_000
+BLOCK = 1_000_000
 #: The share of calibration documents of a language that its limit lets pass, and the room beyond.
 KEPT = 0.999
 ROOM = 0.75
@@ -70,15 +70,14 @@ def normalised(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return codes[keep], kept_before[starts]
 
 
-def hashes(codes: np.ndarray) -> list[np.ndarray]:
-    """Hashes of the last 1 to ORDER codes at every place; places before an array's start are 0."""
-    wide = codes.astype(np.uint64) + np.uint64(1)
-    out = [wide]
+def hashes(codes: np.ndarray) -> np.ndarray:
+    """A hash of the last ORDER codes at every place; before an array's start stands nothing."""
+    wide = codes.astype(np.uint64)
+    wide += np.uint64(1)
+    total = wide.copy()
     for k in range(1, ORDER):
-        shifted = np.zeros_like(wide)
-        shifted[k:] = wide[:-k]
-        out.append(out[-1] + shifted * _POWERS[k])
-    return out
+        total[k:] += wide[:-k] * _POWERS[k]
+    return total
 
 
 @dataclass
@@ -214,7 +213,7 @@ class Identifier:
 
     def _block(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         codes, starts = normalised(texts)
-        found = hashes(codes)[-1]
+        found = hashes(codes)
         scored = np.ones(len(codes), bool)
         for k in range(ORDER - 1):
             scored[starts + k] = False
