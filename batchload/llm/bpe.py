@@ -178,6 +178,15 @@ class Ranks:
         return self.bytes[ranges(self.starts[ids], lengths)]
 
 
+    def decoded(self, ids: pa.ListArray) -> pa.BinaryArray:
+        """The bytes of each of several sequences of ids."""
+        values, offsets = ids.flatten().to_numpy(), ids.offsets.to_numpy()
+        upto = np.concatenate([[0], np.cumsum(self.lengths[values])])
+        cuts = (upto[offsets - offsets[0]]).astype(np.int32)
+        data = [pa.py_buffer(part) for part in (cuts.tobytes(), self.decode(values).tobytes())]
+        return pa.Array.from_buffers(pa.binary(), len(ids), [None, *data])
+
+
 def _leftmost(left: np.ndarray, right: np.ndarray, marked: np.ndarray) -> np.ndarray:
     """Of pairs that share a symbol, as in runs of one letter, the ones that come first."""
     taken, blocked = [], -1
@@ -217,9 +226,22 @@ def encode(
     Special tokens are ordinary text. Repeated rows give repeated rows; other columns play no part.
     A text is never split over blocks, so a block is as large as the longest text at least.
     """
+    return _encoded(docs, ranks_path, pattern, id_col, text_col, decoding=False)
+
+
+def round_trip(
+    docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """(doc_id, ids, decoded): as `encode`, and the bytes that the ids decode to, in one pass."""
+    return _encoded(docs, ranks_path, pattern, id_col, text_col, decoding=True)
+
+
+def _encoded(docs, ranks_path, pattern, id_col, text_col, decoding: bool) -> DataFrame:
     shared = ship(docs.sparkSession, ranks_path)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    schema = rows.select("doc_id").schema.add("ids", T.ArrayType(T.IntegerType()))
+    schema = T.StructType([rows.schema["doc_id"], T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    if decoding:
+        schema = T.StructType([*schema.fields, T.StructField("decoded", T.BinaryType())])
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks, cut = _ranks(shared.value), regex.compile(pattern).findall
@@ -231,10 +253,10 @@ def encode(
                 block.append(words.numbered(cut(text)))
                 size += len(text)
                 if size >= BLOCK_CHARS or row == batch.num_rows - 1:
-                    keys = batch.column(0).slice(first, row + 1 - first)
-                    yield pa.RecordBatch.from_arrays(
-                        [keys, words.ids(block)], names=["doc_id", "ids"]
-                    )
+                    columns = [batch.column(0).slice(first, row + 1 - first), words.ids(block)]
+                    if decoding:
+                        columns.append(ranks.decoded(columns[1]))
+                    yield pa.RecordBatch.from_arrays(columns, names=schema.names)
                     first, size, block = row + 1, 0, []
                     if len(words) > KEPT_WORDS:
                         words = _Words(ranks)
@@ -282,11 +304,8 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
         ranks = _ranks(shared.value)
         for batch in batches:
             ids = batch.column(1)
-            out = [
-                None if not ids[row].is_valid
-                else ranks.decode(ids[row].values.to_numpy()).tobytes()
-                for row in range(batch.num_rows)
-            ]
+            known = ranks.decoded(ids.fill_null([])).to_pylist()
+            out = [x if ok else None for x, ok in zip(known, ids.is_valid().to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), ids, pa.array(out, pa.binary())],
                 names=["doc_id", "ids", "decoded"],

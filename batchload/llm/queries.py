@@ -91,7 +91,7 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ids of every document, and the bytes that they decode to, as digests."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     docs = table(spark, sf_dir, "documents")
-    decoded = bpe.decode(bpe.encode(docs, path, public_tokenizers.PATTERN), path)
+    decoded = bpe.round_trip(docs, path, public_tokenizers.PATTERN)
     return decoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

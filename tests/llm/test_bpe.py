@@ -89,6 +89,15 @@ def test_odd_rows(spark, documents, odd_rows, reference):
             assert bytes(row["decoded"]).decode() == texts[row["doc_id"]]
 
 
+def test_one_pass_or_two(spark, documents, odd_rows):
+    docs = documents(odd_rows[:-2])
+    once = bpe.round_trip(docs, PATH, public_tokenizers.PATTERN).collect()
+    twice = bpe.decode(bpe.encode(docs, PATH, public_tokenizers.PATTERN), PATH).collect()
+    assert once == twice
+    some = bpe.encode(docs, PATH, public_tokenizers.PATTERN).selectExpr("doc_id", "nullif(ids, ids) AS ids")
+    assert all(r["decoded"] is None for r in bpe.decode(some, PATH).collect())
+
+
 def test_empty_table(spark, documents):
     none = documents([])
     assert bpe.decode(bpe.encode(none, PATH, public_tokenizers.PATTERN), PATH).count() == 0
