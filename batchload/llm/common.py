@@ -48,6 +48,21 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Documents that Python gets at once, in queries over whole texts.
+BATCH_DOCUMENTS = 1_000
+
+
+def document_batches(spark: SparkSession) -> None:
+    """Sets the session to send documents to Python in batches of BATCH_DOCUMENTS or fewer.
+
+    The default of ten thousand rows is meant for rows of a few numbers; batches of whole texts take
+    that much more memory in every Python worker.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_DOCUMENTS:
+        spark.conf.set(name, str(BATCH_DOCUMENTS))
+
+
 @contextmanager
 def small_batches(spark: SparkSession, rows: int):
     """What is computed inside sends batches of so many rows to Python, for rows that are large."""

@@ -18,12 +18,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from batchload.llm.common import mix64
+from batchload.llm.common import mix64, stored
 
 ORDER = 5
 #: Expected documents per language that train the models, and that calibrate them. The labelled
 #: sample is bounded by these and by the length of its documents, not by the size of the table.
-TRAIN_DOCS = 1_500
+TRAIN_DOCS = 1_000
 CALIBRATE_DOCS = 500
 SAMPLE_CHARS = 20_000
 #: Texts longer than this are scored in pieces whose sums are added.
@@ -166,11 +166,16 @@ def fit(grams: pd.DataFrame) -> Model:
     return model
 
 
+def _codes(grams) -> np.ndarray:
+    """The code points of n-grams of one length, one row each."""
+    flat = np.frombuffer("".join(grams).encode("utf-32-le", "surrogatepass"), np.uint32)
+    return flat.reshape(len(grams), -1)
+
+
 def _sorted_hashes(keys: list[str], values: list[float]) -> tuple[np.ndarray, np.ndarray]:
     if not keys:
         return np.zeros(0, np.uint64), np.zeros(0)
-    codes = np.frombuffer("".join(keys).encode("utf-32-le", "surrogatepass"), np.uint32)
-    found = mix64(_window_hashes(codes.reshape(len(keys), -1))[-1][:, 0])
+    found = mix64(_window_hashes(_codes(keys))[-1][:, 0])
     order = np.argsort(found)
     return found[order], np.log(np.array(values))[order]
 
@@ -305,20 +310,26 @@ def train(
                     {"lang": lang, "gram": list(counts), "n": list(counts.values())}
                 )
 
-    grams = (
+    grams = stored(
         sample.where("trains").select("lang", "text")
         .mapInPandas(count, "lang string, gram string, n long")
-        .groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
+        .groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     )
-    langs = sorted(grams["lang"].unique())
-    models = [fit(part) for _, part in sorted(grams.groupby("lang"), key=lambda x: x[0])]
-    codes = np.frombuffer(
-        "".join(pd.unique(grams["gram"])).encode("utf-32-le", "surrogatepass"), np.uint32
-    ).reshape(-1, ORDER)
-    known = mix64(_window_hashes(codes)[-1][:, 0])
-    order = np.argsort(known)
-    scores = np.stack([model.score(codes[order]) for model in models], axis=1).astype(np.float32)
-    found = Identifier(langs, models, np.full(len(langs), np.inf), 1.0, known[order], scores)
+    # One language after the other: the driver holds the counts of one at a time.
+    langs, models, seen = [], [], []
+    for lang in sorted(per_lang):
+        counts_of = grams.where(F.col("lang") == lang).select("gram", "n").toPandas()
+        if len(counts_of):
+            langs.append(lang)
+            models.append(fit(counts_of))
+            seen.append(_codes(counts_of["gram"]))
+    if not langs:
+        return Identifier([], [], np.zeros(0), 1.0)
+    codes = np.concatenate(seen)
+    known, first = np.unique(mix64(_window_hashes(codes)[-1][:, 0]), return_index=True)
+    scores = [model.score(codes[first]).astype(np.float32) for model in models]
+    limits = np.full(len(langs), np.inf)
+    found = Identifier(langs, models, limits, 1.0, known, np.stack(scores, axis=1))
     return _calibrated(found, sample.where("NOT trains"))
 
 

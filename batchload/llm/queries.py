@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from batchload.llm import bpe, html, langid, licenses, quality, secrets
-from batchload.llm.common import table
+from batchload.llm.common import document_batches, table
 from batchload.llm.jaccard import similar_documents
 from batchload.llm.mix import mix
 from batchload.llm.neardup import near_duplicates
@@ -20,8 +21,13 @@ ORACLES: dict[str, str] = {}
 
 
 def query(function: Callable[[SparkSession, str], DataFrame]):
-    QUERIES[function.__name__] = function
-    return function
+    @wraps(function)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        document_batches(spark)
+        return function(spark, sf_dir)
+
+    QUERIES[function.__name__] = run
+    return run
 
 
 @query
