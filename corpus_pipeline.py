@@ -12,7 +12,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from batchload.llm import bpe, langid, mix, secrets
-from batchload.llm.common import stored, table
+from batchload.llm.common import document_batches, stored, table
 from batchload.llm.jaccard import similar_documents
 
 #: Up to so many ids of removed documents are broadcast; more are joined by shuffle.
@@ -25,6 +25,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Documents whose text is null, holds no letter or is like none of the languages are rejected.
     The models learn from the texts of `docs` that have a language.
     """
+    document_batches(spark)
     found = langid.train(docs)
     said = docs.select(
         F.struct("*").alias("row"), langid.identify(F.col("text"), found, spark).alias("said")
@@ -40,6 +41,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Of rows that repeat an id, the first by text (then by the other columns) stays. Rows without an
     id are in no group and stay.
     """
+    document_batches(spark)
     grouped = stored(similar_documents(docs))
     removed = grouped.where("component_id <> doc_id").select("doc_id").distinct()
     few = removed.count() <= BROADCAST_ROWS
@@ -60,6 +62,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with every secret in their texts replaced by a mark."""
+    document_batches(spark)
     models = secrets.train(docs)
     clean = docs.withColumn("text", secrets.redact(F.col("text"), models))
     return clean.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
@@ -67,12 +70,14 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as its source's target weight asks for, not at all included."""
+    document_batches(spark)
     return mix.repeated(docs)
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, decoded_sha256) of every row: its ids, and a digest of the bytes
     that they decode to."""
+    document_batches(spark)
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     decoded = bpe.round_trip(docs, path, public_tokenizers.PATTERN)
     return decoded.select(
