@@ -7,8 +7,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from acceptance.planning import MIXED_REQUEST, MIXED_SQL
-from acceptance.registry import in_batch_sql, query, table, windows_sql
-from batchload import build, tumbling
+from acceptance.registry import in_batch_sql, parts_sql, query, table, windows_sql
+from batchload import BatchRequest, build, tumbling
 from batchload.operators import extract
 
 DAY = 86400
@@ -118,3 +118,32 @@ def batch_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
 def batch_assign_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "events").select("event_id", "ts", "event_type")
     return extract.assign_batches(rows, build(spark, MIXED_REQUEST), "ts", "event_type")
+
+
+_MANY = [
+    ("end", None, None, "2024-01-05"),
+    *[("partition", name, None, None) for name in ("click", "view", "click", "signup")],
+    *[("partition_range", name, "2024-01-10", "2024-01-15") for name in ("error", "purchase", "error")],
+]
+_MANY_SQL = parts_sql(_MANY, DAY)
+
+
+@query(
+    "batch_assign_many_items",
+    f"""WITH w AS ({_MANY_SQL})
+        SELECT events.*, batch_id FROM events JOIN w ON {in_batch_sql("ts", "event_type")}""",
+)
+def batch_assign_many_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """More items than a CASE expression takes, an open range among them, some of them equal."""
+    request = BatchRequest(
+        name="many",
+        pattern="yyyyMMdd",
+        end="20240105",
+        partitions=(
+            "click,view,click,signup,error:20240110-20240115,purchase:20240110-20240115,"
+            "error:20240110-20240115"
+        ),
+        interval_seconds=DAY,
+    )
+    rows = table(spark, sf_dir, "events")
+    return extract.assign_batches(rows, build(spark, request), "ts", "event_type")

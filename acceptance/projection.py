@@ -30,24 +30,26 @@ def project_sign_version(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "project_stringify",
     """SELECT CAST(event_id AS VARCHAR) AS event_id, strftime(ts, '%Y%m%d%H%M%S') AS ts,
-              CAST(user_id AS VARCHAR) AS user_id, event_type, props FROM events""",
+              CAST(user_id AS VARCHAR) AS user_id, event_type, CAST(value AS VARCHAR) AS value,
+              props FROM events""",
 )
 def project_stringify(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "events").drop("value")
-    return project.stringify(rows, timestamp_pattern="yyyyMMddHHmmss")
+    rows = table(spark, sf_dir, "events")
+    return project.stringify(rows, timestamp_pattern="yyyyMMddHHmmss", plain_numbers=True)
 
 
 @query(
     "project_null_to_empty",
-    """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey,
+    """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
               coalesce(nullif(o_orderstatus, 'F'), '') AS o_orderstatus,
-              strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate FROM orders""",
+              CAST(o_totalprice AS VARCHAR) AS o_totalprice,
+              strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate,
+              o_orderpriority FROM orders""",
 )
 def project_null_to_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "orders").select(
-        "o_orderkey", F.expr("nullif(o_orderstatus, 'F')").alias("o_orderstatus"), "o_orderdate"
-    )
-    return project.null_to_empty(rows)
+    rows = table(spark, sf_dir, "orders")
+    rows = rows.withColumn("o_orderstatus", F.expr("nullif(o_orderstatus, 'F')"))
+    return project.null_to_empty(rows, plain_numbers=True)
 
 
 @query(

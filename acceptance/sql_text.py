@@ -41,22 +41,29 @@ _JOIN = """
     FROM per_customer JOIN {customer} ON o_custkey = c_custkey
     JOIN {nation} ON c_nationkey = n_nationkey GROUP BY n_name"""
 
+# One row per status, priority and customer first: the grouping sets expand those, not raw rows.
 _AGGREGATE = """
-    SELECT o_orderstatus, o_orderpriority, count(*) AS n_orders,
-           count(DISTINCT o_custkey) AS n_customers, min(o_totalprice) AS lowest,
-           max(o_totalprice) AS highest, max(o_orderdate) AS last_order
-    FROM {orders} WHERE o_orderdate >= :start AND o_orderdate < :end
+    WITH per_customer AS (
+        SELECT o_orderstatus, o_orderpriority, o_custkey, count(*) AS n,
+               min(o_totalprice) AS lowest, max(o_totalprice) AS highest,
+               max(o_orderdate) AS last_order
+        FROM {orders} WHERE o_orderdate >= :start AND o_orderdate < :end
+        GROUP BY o_orderstatus, o_orderpriority, o_custkey)
+    SELECT o_orderstatus, o_orderpriority, CAST(sum(n) AS BIGINT) AS n_orders,
+           count(DISTINCT o_custkey) AS n_customers, min(lowest) AS lowest,
+           max(highest) AS highest, max(last_order) AS last_order
+    FROM per_customer
     GROUP BY GROUPING SETS ((o_orderstatus, o_orderpriority), (o_orderstatus), ())"""
 
 # The window runs over days already counted, never over raw rows of one priority.
 _WINDOW = """
     WITH daily AS (
-        SELECT o_orderpriority, o_orderdate, count(*) AS n FROM {orders}
-        WHERE o_orderdate >= :start AND o_orderdate < :end GROUP BY o_orderpriority, o_orderdate)
-    SELECT o_orderpriority, o_orderdate, n,
-           CAST(sum(n) OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate) AS BIGINT)
-               AS running,
-           lag(n) OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate) AS previous
+        SELECT o_orderpriority, CAST(o_orderdate AS DATE) AS day, count(*) AS n FROM {orders}
+        WHERE o_orderdate >= :start AND o_orderdate < :end
+        GROUP BY o_orderpriority, CAST(o_orderdate AS DATE))
+    SELECT o_orderpriority, day, n,
+           CAST(sum(n) OVER (PARTITION BY o_orderpriority ORDER BY day) AS BIGINT) AS running,
+           lag(n) OVER (PARTITION BY o_orderpriority ORDER BY day) AS previous
     FROM daily"""
 
 _TOPK = """
@@ -131,6 +138,23 @@ def sql_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sql.select(spark, text, frames, **{"from": EVENTS_FROM})
 
 
+_FILLED = """
+    SELECT get_json_object(props, '$.k') AS k, '$start' AS literal, count(*) AS n_events
+    FROM {events} WHERE event_type = '${partition}' AND ts >= TIMESTAMP_NTZ'${start}'
+    GROUP BY get_json_object(props, '$.k')"""
+
+
+@query(
+    "sql_fill",
+    """SELECT json_extract_string(props, '$.k') AS k, '$start' AS literal, count(*) AS n_events
+       FROM events WHERE event_type = 'click' AND ts >= TIMESTAMP '2024-01-02' GROUP BY 1, 2""",
+)
+def sql_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A filled text with a JSON path and a literal that look like placeholders."""
+    text = sql.fill(_FILLED, start="2024-01-02 00:00:00", partition="click")
+    return sql.select(spark, text, {"events": table(spark, sf_dir, "events")})
+
+
 @query(
     "sql_per_batch",
     f"""WITH w AS ({windows_sql("1995-01-01", "2002-01-01", 365 * DAY)})

@@ -2,17 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from batchload.operators.extract import plan_side
 from batchload.plans.batch_plan import BatchPlan
 
-BATCH_KEY = ("start_ts", "end_ts", "partition")
+# What a batch is, whatever plan it is numbered in: its bounds, its partition, and which one it is
+# among batches of a plan that are equal in these.
+BATCH_KEY = ("start_ts", "end_ts", "partition", "occurrence")
 MANIFEST_SCHEMA = (
-    "batch_id bigint, start_ts timestamp_ntz, end_ts timestamp_ntz, partition string, "
-    "n_rows bigint, status string, finished_at timestamp"
+    "load_name string, batch_id bigint, start_ts timestamp_ntz, end_ts timestamp_ntz, "
+    "partition string, occurrence int, attempt string, n_rows bigint, status string, "
+    "finished_at timestamp"
 )
+# Batches in these states are in the target. `uncounted` ones are, but nobody knows how many rows.
+LOADED = ("ok", "uncounted")
+
+
+def numbered(plan_frame: DataFrame) -> DataFrame:
+    """Plan rows with `occurrence`: 1 for the first batch of its bounds and partition, then 2 ..."""
+    if "occurrence" in plan_frame.columns:
+        return plan_frame
+    equal = Window.partitionBy("start_ts", "end_ts", "partition").orderBy("batch_id")
+    return plan_frame.withColumn("occurrence", F.row_number().over(equal))
 
 
 def row_counts(tagged: DataFrame) -> DataFrame:
@@ -41,12 +54,19 @@ def summary(counted: DataFrame) -> DataFrame:
     )
 
 
-def manifest(batches: DataFrame, status: str) -> DataFrame:
-    """Manifest rows for plan rows (with or without `n_rows`) that ended in `status`."""
+def manifest(
+    batches: DataFrame, status: str, load_name: str = "load", attempt: str | None = None
+) -> DataFrame:
+    """Manifest rows for plan rows (with or without `n_rows`) that ended in `status`.
+
+    Number the rows of a part of a plan beforehand, with `numbered` on the whole plan.
+    """
     n_rows = F.col("n_rows") if "n_rows" in batches.columns else F.lit(None)
-    return batches.select(
+    return numbered(batches).select(
+        F.lit(load_name).alias("load_name"),
         "batch_id",
         *BATCH_KEY,
+        F.lit(attempt).cast("string").alias("attempt"),
         n_rows.cast("bigint").alias("n_rows"),
         F.lit(status).alias("status"),
         F.current_timestamp().alias("finished_at"),
@@ -61,12 +81,32 @@ def _same_batch(left: DataFrame, right: DataFrame) -> Column:
     return condition
 
 
-def pending(plan_frame: DataFrame, finished: DataFrame) -> DataFrame:
-    """Plan rows with no manifest row of status `ok`."""
-    done = finished.where(F.col("status") == "ok").select(*BATCH_KEY).distinct()
+def pending(plan_frame: DataFrame, finished: DataFrame, load_name: str = "load") -> DataFrame:
+    """Plan rows, with `occurrence`, that the manifest does not know as loaded by this load."""
+    plan_frame = numbered(plan_frame)
+    mine = finished.where((F.col("load_name") == load_name) & F.col("status").isin(*LOADED))
+    done = mine.select(*BATCH_KEY).distinct()
     return plan_frame.join(done, _same_batch(plan_frame, done), "left_anti")
 
 
+def failed_before(
+    batches: DataFrame, finished: DataFrame, load_name: str = "load"
+) -> DataFrame:
+    """Those plan rows of which an earlier run of this load failed."""
+    mine = finished.where((F.col("load_name") == load_name) & (F.col("status") == "failed"))
+    failed = mine.select(*BATCH_KEY).distinct()
+    return batches.join(failed, _same_batch(batches, failed), "left_semi")
+
+
+def current(finished: DataFrame) -> DataFrame:
+    """For each batch of each load, the row of its last run that is in the target."""
+    loaded = finished.where(F.col("status").isin(*LOADED))
+    last = F.max_by(F.struct("attempt", "batch_id", "n_rows"), "finished_at").alias("last")
+    return loaded.groupBy("load_name", *BATCH_KEY).agg(last).select(
+        "load_name", *BATCH_KEY, "last.*"
+    )
+
+
 def reconcile(source_counts: DataFrame, target_counts: DataFrame) -> DataFrame:
     """Compare rows per batch of source and target.
 

@@ -8,12 +8,14 @@ from __future__ import annotations
 
 from dataclasses import replace
 from datetime import datetime, time, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from batchload.functions.patterns import CALENDAR_MONTHS, UNIT_SECONDS, ntz_literal
+from batchload.operators.project import quoted
 from batchload.plans.batch_plan import WINDOWED, BatchPlan, PlanItem
 
 # Sides of a join derived from a plan are broadcast up to this many rows, a number known exactly
@@ -24,6 +26,8 @@ BROADCAST_ROWS = 200_000
 # expression is about twice as fast for a few items, but its generated code soon grows too large.
 INLINE_ITEMS = 6
 
+DAY = timedelta(days=1)
+
 # Partition names pushed to the scan as an IN list.
 PUSHED_NAMES = 1_000
 
@@ -49,13 +53,23 @@ def in_bounds(
     df: DataFrame, time_col: str | None, lower: datetime | None, upper: datetime | None
 ) -> Column:
     """`lower <= time < upper`; a missing bound is open. Rows without a time match no bound."""
-    condition = F.lit(True)
+    conditions = []
     if lower is not None:
-        condition = F.col(time_col) >= _bound(df, time_col, lower)
+        conditions.append(F.col(time_col) >= _bound(df, time_col, lower))
     if upper is not None:
-        below = F.col(time_col) < _bound(df, time_col, upper)
-        condition = below if lower is None else condition & below
-    return condition
+        conditions.append(F.col(time_col) < _bound(df, time_col, upper))
+    if conditions and isinstance(df.schema[time_col].dataType, T.TimestampType):
+        # Bounds are zone-free: local times are compared, also where a clock change repeats an
+        # hour. The scan gets bounds that are a day wider.
+        conditions = []
+        local = F.col(time_col).cast("timestamp_ntz")
+        if lower is not None:
+            conditions.append(F.col(time_col) >= _bound(df, time_col, lower - DAY))
+            conditions.append(local >= ntz_literal(lower))
+        if upper is not None:
+            conditions.append(F.col(time_col) < _bound(df, time_col, upper + DAY))
+            conditions.append(local < ntz_literal(upper))
+    return reduce(Column.__and__, conditions) if conditions else F.lit(True)
 
 
 def window(df: DataFrame, time_col: str, start: datetime, end: datetime) -> DataFrame:
@@ -163,6 +177,8 @@ def assign_batches(
     items are equi-joined on the partition name, with one row per item (not per batch) on the
     small side.
     """
+    if "batch_id" in df.columns:
+        raise ValueError("the rows have a batch_id already; rename it first")
     kinds = {item.kind for item in plan.items}
     if kinds - {"partition"} and time_col is None:
         raise ValueError("the plan has time bounds: time_col is required")
@@ -175,12 +191,24 @@ def assign_batches(
     return _assign_joined(df, plan, time_col, partition_col)
 
 
+def partition_keys(df: DataFrame, plan: BatchPlan, partition_col: str | None) -> dict[str, object]:
+    """What the partition names of a plan are as values of the column: `01` and `1` may be one."""
+    names = sorted({item.partition for item in plan.items if item.partition is not None})
+    if not names:
+        return {}
+    kind = df.schema[partition_col].dataType
+    values = df.sparkSession.range(1).select(
+        F.array(*[F.lit(name).try_cast(kind) for name in names])
+    )
+    return dict(zip(names, values.first()[0]))
+
+
 def _assign_inline(
     df: DataFrame, plan: BatchPlan, time_col: str | None, partition_col: str | None
 ) -> DataFrame:
     """One CASE expression for each set of items that exclude each other."""
     any_of, hits = None, []
-    for layer in plan.layers():
+    for layer in plan.layers(partition_keys(df, plan, partition_col)):
         hit = None
         for item in layer.items:
             test = in_bounds(df, time_col, plan.lower(item), plan.upper(item))
@@ -251,7 +279,7 @@ def _assign_joined(
             number = _window_number(ts, F.col("__bl_origin"), plan)
             batch_id = batch_id + F.coalesce(number, F.lit(0))
     joined = rows.join(plan_side(items, len(plan.items)), on)
-    return joined.select(*df.columns, batch_id.alias("batch_id"))
+    return joined.select(*map(quoted, df.columns), batch_id.alias("batch_id"))
 
 
 def _plan_filter(

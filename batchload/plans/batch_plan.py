@@ -141,19 +141,22 @@ class BatchPlan:
             None if None in uppers else max(uppers, default=None),
         )
 
-    def layers(self) -> list["BatchPlan"]:
+    def layers(self, keys: dict[str, object] | None = None) -> list["BatchPlan"]:
         """Split into plans within which no row can belong to two items.
 
         Items of different partitions never overlap; an open range, or a second entry for the same
-        partition, may. Used where a source is read once per layer.
+        partition, may. `keys` says which names are the same partition once they are values of its
+        column. Used where a source is read once per layer.
         """
+        keys = keys or {}
         layers: list[list[PlanItem]] = []
-        seen: dict[str, int] = {}
+        seen: dict[object, int] = {}
         whole = [item for item in self.items if item.partition is None]
         for item in self.items:
             if item.partition is not None:
-                depth = seen.get(item.partition, 0)
-                seen[item.partition] = depth + 1
+                key = keys.get(item.partition, item.partition)
+                depth = seen.get(key, 0)
+                seen[key] = depth + 1
                 if depth == len(layers):
                     layers.append([])
                 layers[depth].append(item)

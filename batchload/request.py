@@ -27,7 +27,7 @@ class BatchRequest:
     n_columns: int | None = None
     batchsize: int = 1000
     fetchsize: int = 1000
-    parallelism: int = 1
+    parallelism: int | None = None
     num_slices: int | None = None
     clamp_end: bool = False
 
@@ -44,8 +44,9 @@ class BatchRequest:
         return not is_blank(self.partitions)
 
     @property
-    def slices(self) -> int:
-        """Number of scan slices: as asked for, else one per parallel task."""
+    def slices(self) -> int | None:
+        """Number of scan slices: as asked for, else one per parallel task; None leaves it to the
+        session."""
         return self.num_slices or self.parallelism
 
     def validate(self) -> "BatchRequest":
@@ -59,10 +60,10 @@ class BatchRequest:
         if self.interval_seconds is not None and self.interval_seconds <= 0:
             raise ValueError("interval_seconds must be positive")
         for field in ("batchsize", "fetchsize", "parallelism"):
-            if getattr(self, field) < 1:
+            if getattr(self, field) is not None and getattr(self, field) < 1:
                 raise ValueError(f"{field} must be positive")
         if self.n_columns is not None and self.n_columns < 1:
             raise ValueError("n_columns must be positive")
-        if self.num_slices is not None and self.num_slices < self.parallelism:
+        if self.num_slices is not None and self.num_slices < (self.parallelism or 1):
             raise ValueError("num_slices must not be below parallelism")
         return self

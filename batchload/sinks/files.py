@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from batchload.operators.audit import row_counts
+from batchload.operators.audit import BATCH_KEY, current, row_counts
 from batchload.plans.batch_plan import BatchPlan
 
 
@@ -14,10 +14,14 @@ def insert_into(df: DataFrame, table: str) -> None:
     df.write.insertInto(table)
 
 
-def write_batches(tagged: DataFrame, path: str, load_name: str, rebalance: bool = True) -> None:
-    """Write tagged rows as Parquet under `load_name=.../batch_id=...`.
+def write_batches(
+    tagged: DataFrame, attempt: str, path: str, load_name: str, rebalance: bool = True
+) -> None:
+    """Write tagged rows as Parquet under `load_name=.../attempt=.../batch_id=...`.
 
-    A rerun replaces the batches it holds and leaves all others, so a retry makes no duplicates.
+    Every attempt has folders of its own, and the manifest says which attempt of a batch counts:
+    `read_batches` reads those. So a rerun replaces a batch as a whole, also by nothing, whatever
+    its number was in an earlier plan, and an attempt that failed is never read.
 
     The rebalance hint shuffles the rows of a batch together and splits a batch that is larger than
     the others over several tasks (adaptive execution must be on, as it is by default). Without it
@@ -28,17 +32,51 @@ def write_batches(tagged: DataFrame, path: str, load_name: str, rebalance: bool
         tagged = tagged.hint("rebalance", "batch_id")
     (
         tagged.withColumn("load_name", F.lit(load_name))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("load_name", "batch_id")
+        .withColumn("attempt", F.lit(attempt))
+        .write.mode("append")
+        .partitionBy("load_name", "attempt", "batch_id")
         .parquet(path)
     )
 
 
-def written_counts(spark: SparkSession, path: str, load_name: str, plan: BatchPlan) -> DataFrame:
-    """Rows per batch of a plan as found in the files; no data column is read."""
+def read_batches(
+    spark: SparkSession,
+    path: str,
+    finished: DataFrame,
+    load_name: str,
+    schema: str,
+    with_key: bool = False,
+) -> DataFrame:
+    """The rows of a load as the manifest `finished` has them, tagged with `batch_id`, the number
+    of their batch in the plan that loaded it last.
+
+    Numbers of different plans may be equal: with `with_key` bounds, partition and occurrence, which
+    tell batches apart, come too.
+
+    `schema` is that of the rows, without `batch_id`. Folders are picked by the manifest: it has one
+    row per batch, and only folders that it names are read.
+    """
+    kept = current(finished).where(F.col("load_name") == load_name)
+    kept = kept.select("attempt", "batch_id", *(BATCH_KEY if with_key else ()))
+    partitions = "load_name string, attempt string, batch_id bigint"
+    files = spark.read.schema(f"{schema}, {partitions}").parquet(path)
+    files = files.where(F.col("load_name") == load_name)
+    return files.join(kept, ["attempt", "batch_id"]).drop("attempt", "load_name")
+
+
+def written_counts(
+    spark: SparkSession, path: str, load_name: str, plan: BatchPlan, attempt: str
+) -> DataFrame:
+    """Rows per batch of a plan as an attempt has written them; no data column is read."""
+    if not plan.items:
+        return spark.createDataFrame([], "batch_id bigint, n_rows bigint")
     first, last = plan.items[0].first_batch_id, plan.items[-1].last_batch_id
-    files = spark.read.schema("load_name string, batch_id bigint").parquet(path)
+    schema = "load_name string, attempt string, batch_id bigint"
+    files = spark.read.schema(schema).parquet(path)
     return row_counts(
-        files.where((F.col("load_name") == load_name) & F.col("batch_id").between(first, last))
+        files.where(
+            (F.col("load_name") == load_name)
+            & (F.col("attempt") == attempt)
+            & F.col("batch_id").between(first, last)
+        )
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from datetime import date, datetime, timedelta
 
@@ -10,6 +11,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from acceptance.loading import extract_by_day
 from batchload import BatchRequest, build, tumbling
 from batchload.operators import audit, extract, project
 
@@ -282,3 +284,61 @@ def test_projections(spark):
     assert project.rename_positional(rows, ["a", "b", "c"]).columns == ["a", "b", "c"]
     with pytest.raises(ValueError):
         project.rename_positional(rows, ["a"])
+
+
+SPECS = (
+    "1,01", "1,01,3,4,5,6,7", "2,2,2", "3:20241101-20241105,03:20241103-20241106,3",
+    "1:20241102-20241104,2,5,6,7,8,9,01",
+)
+
+
+@pytest.mark.parametrize("spec", SPECS)
+@pytest.mark.parametrize("kind", ["int", "string", "bigint"])
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_expression_and_join_agree(spark, monkeypatch, spec, kind, zone):
+    """Names that are one value of the column, zoned times over a clock change, long and short."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        start = datetime(2024, 10, 31)
+        zoned = spark.range(24 * 8 * 4).selectExpr(
+            "id", f"CAST(id % 9 AS {kind}) AS p",
+            f"timestamp_seconds(unix_timestamp(TIMESTAMP'{start}') + id * 900) AS t",
+        )
+        request = BatchRequest("job", "yyyyMMdd", start="20241103", partitions=spec, interval_seconds=5400 * 2)
+        plan = build(spark, request)
+        local = zoned.withColumn("t", zoned["t"].cast("timestamp_ntz"))
+        expected = Counter((r.id, r.batch_id) for r in extract.assign_batches(local, plan, "t", "p").collect())
+        for most in (0, 100):
+            monkeypatch.setattr(extract, "INLINE_ITEMS", most)
+            got = extract.assign_batches(zoned, plan, "t", "p")
+            assert Counter((r.id, r.batch_id) for r in got.collect()) == expected
+        if kind == "int" and spec == "1,01":
+            assert sum(1 for _, batch in expected if batch > 0) == 2 * zoned.where("p = 1").count()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_a_batch_id_is_never_replaced(spark):
+    rows = spark.createDataFrame([(1, "a")], "batch_id int, p string")
+    for spec in ("a", "a,b,c,d,e,f,g,h"):
+        plan = build(spark, BatchRequest("job", "yyyyMMdd", partitions=spec))
+        with pytest.raises(ValueError, match="batch_id"):
+            extract.assign_batches(rows, plan, None, "p")
+
+
+def test_names_with_dots(spark):
+    rows = spark.createDataFrame([("a", 1e7, 0.5, 1e-5)], "p string, `x.y` double, `a``b` double, z double")
+    plan = build(spark, BatchRequest("job", "yyyyMMdd", partitions="a,b,c,d,e,f,g,h"))
+    tagged = extract.assign_batches(rows, plan, None, "p")
+    assert tagged.columns == ["p", "x.y", "a`b", "z", "batch_id"] and tagged.count() == 1
+    assert project.first_n(rows, 2).columns == ["p", "x.y"]
+    text = project.stringify(rows, plain_numbers=True).first()
+    assert tuple(text) == ("a", "10000000.0", "0.5", "0.00001")
+
+
+def test_days_prune_folders(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    plan = extract_by_day(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    filters = re.search(r"PartitionFilters: \[([^]]*)\]", plan)[1]
+    assert "day" in filters and ">=" in filters and "<=" in filters
