@@ -24,9 +24,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: A block holds whole documents of about so many characters.
-BLOCK_CHARS = 3_000_000
+BLOCK_CHARS = 2_000_000
 #: Words kept from block to block; beyond, the task starts afresh.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 120_000
 
 
 class Ranks:

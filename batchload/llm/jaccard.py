@@ -40,7 +40,7 @@ PAIR_BATCH = 500
 #: A size band ends at this multiple of its start.
 BAND = 1.4
 LEVELS = 64
-KEPT_WORDS = 200_000
+KEPT_WORDS = 100_000
 
 
 @dataclass(frozen=True)
