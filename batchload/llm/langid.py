@@ -377,4 +377,5 @@ def identify(text: Column, found: Identifier, spark) -> Column:
     def identified(texts: pd.Series) -> pd.DataFrame:
         return shared.value.identify(list(texts))
 
-    return identified(text)
+    # A filter on the result must not be computed by a second pass over the texts.
+    return identified.asNondeterministic()(text)
