@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +40,8 @@ PAIR_BATCH = 500
 #: A size band ends at this multiple of its start.
 BAND = 1.4
 LEVELS = 64
+#: No set is as large: a string ends below this many bytes. The bands reach it with 60 levels at most.
+LONGEST = 1 << 31
 KEPT_WORDS = 100_000
 
 
@@ -73,24 +75,27 @@ class Level:
     high: int
     parts: int
     spare: int
-    bounds: np.ndarray  # where each part of the hash range ends
-    seeds: np.ndarray
+
+    # Made when a set of the band comes up: the bands of long texts have millions of parts.
+    @cached_property
+    def bounds(self) -> np.ndarray:
+        """Where each part of the hash range ends."""
+        ends = (((i + 1) << 64) // self.parts - 1 for i in range(self.parts))
+        return np.fromiter(ends, np.uint64, self.parts)
+
+    @cached_property
+    def seeds(self) -> np.ndarray:
+        return mix64(np.arange(self.parts, dtype=np.uint64) + np.uint64((self.number + 1) << 32))
 
 
 @lru_cache(maxsize=8)
 def levels(rule: Similarity) -> tuple[Level, ...]:
     out, low = [], rule.least()
-    while len(out) < LEVELS:
+    while len(out) < LEVELS and low < LONGEST:
         high = max(low + 1, int(low * max(BAND, 1.1 * 100 / rule.percent)) - 1)
         different = rule.most_different(2 * high)
         spare = max(4, -(-different // 10))
-        parts = different + 1 + spare
-        if parts > 1 << 20:
-            break
-        number = len(out)
-        bounds = np.array([((i + 1) << 64) // parts - 1 for i in range(parts)], np.uint64)
-        seeds = mix64(np.arange(parts, dtype=np.uint64) + np.uint64((number + 1) << 32))
-        out.append(Level(number, low, high, parts, spare, bounds, seeds))
+        out.append(Level(len(out), low, high, different + 1 + spare, spare))
         low = high + 1
     return tuple(out)
 

@@ -74,6 +74,23 @@ def test_linked_sets_keep_keys_in_common(seed, n, share):
     )
 
 
+def test_very_large_sets_keep_keys_in_common():
+    """Texts of 30 MB and more: 5.3 million shingles, 0.95 of them in common."""
+    rule, rng = Similarity(), np.random.default_rng(3)
+    x = np.unique(rng.integers(0, 2**63, 5_300_000, dtype=np.uint64))
+    y = x[rng.random(len(x)) < 0.95]
+    shared = np.intersect1d(keys_of(x, rule), keys_of(y, rule))
+    numbers, n = np.unique(shared & np.uint64(63), return_counts=True)
+    assert any(k > levels(rule)[int(number)].spare for number, k in zip(numbers, n, strict=True))
+
+
+@pytest.mark.parametrize("percent", [10, 50, 60, 78, 80, 85, 99])
+def test_bands_reach_the_longest_texts(percent):
+    bands = levels(Similarity(percent))
+    assert bands[-1].high >= jaccard.LONGEST - 1 and len(bands) <= 64
+    assert all(a.high + 1 == b.low for a, b in zip(bands, bands[1:]))
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.integers(0, 2**31), st.integers(1, 400), st.integers(0, 400))
 def test_bitmaps_bound_the_overlap_from_above(seed, n, common):
