@@ -15,6 +15,10 @@ from batchload.llm import bpe, langid, mix, secrets
 from batchload.llm.common import document_batches, stored, table
 from batchload.llm.jaccard import similar_documents
 
+#: The near-duplicate stage: shingles of five words, at least 0.8 of the union in common. The query
+#: op3_jaccard_join has a contract of its own, four words and 0.85.
+SHINGLE_WORDS = 5
+SIMILAR_PERCENT = 80
 #: Up to so many ids of removed documents are broadcast; more are joined by shuffle.
 BROADCAST_ROWS = 1_000_000
 
@@ -38,11 +42,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of similar ones: the one with the smallest id.
 
-    Of rows that repeat an id, the first by text (then by the other columns) stays. Rows without an
+    Documents are similar whose sets of five-word shingles have 0.8 of their union in common. Of rows that repeat an id, the first by text (then by the other columns) stays. Rows without an
     id are in no group and stay.
     """
     document_batches(spark)
-    grouped = stored(similar_documents(docs))
+    grouped = stored(similar_documents(docs, SHINGLE_WORDS, SIMILAR_PERCENT))
     removed = grouped.where("component_id <> doc_id").select("doc_id").distinct()
     few = removed.count() <= BROADCAST_ROWS
     kept = docs.join(F.broadcast(removed) if few else removed, "doc_id", "left_anti")

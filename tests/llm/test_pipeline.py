@@ -110,6 +110,19 @@ def test_rows_that_repeat_an_id_are_one(spark, documents):
     assert row["text"] == "a b c d e f"
 
 
+def test_near_copies_by_five_words_and_eighty_hundredths(spark, documents):
+    """Copies that four words and 85 hundredths tell apart: two words replaced, 20 appended."""
+    one, two = ([f"{name}{k}" for k in range(100)] for name in "ab")
+    replaced = [f"new{k}" if k in (30, 60) else word for k, word in enumerate(one)]
+    appended = two + [f"more{k}" for k in range(20)]
+    apart = two[:70] + [f"other{k}" for k in range(30)]
+    docs = documents([
+        (k, " ".join(words), "en", "a") for k, words in enumerate([one, replaced, two, appended, apart])
+    ])
+    kept = corpus_pipeline.near_duplicates(spark, docs, SF_DIR).collect()
+    assert sorted(r["doc_id"] for r in kept) == [0, 2, 4]
+
+
 def test_components_of_chains(spark):
     edges = [(k, k + 1) for k in range(300)] + [(1000, 1001), (5000, 2000), (7, 7)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
