@@ -22,9 +22,10 @@ from batchload.llm.common import mix64, stored
 
 ORDER = 5
 #: Expected documents per language that train the models, and that calibrate them. The labelled
-#: sample is bounded by these and by the length of its documents, not by the size of the table.
+#: sample is bounded by these, not by the size of the table.
 TRAIN_DOCS = 1_000
 CALIBRATE_DOCS = 500
+#: Longer documents are in the sample where a language has too few others.
 SAMPLE_CHARS = 20_000
 #: Texts longer than this are scored in pieces whose sums are added.
 PIECE = 500_000
@@ -275,27 +276,38 @@ def train(
     """An identifier from the texts and non-null languages of `docs`.
 
     TRAIN_DOCS documents per language are expected in the sample that trains, CALIBRATE_DOCS others
-    in the one that calibrates; both are chosen by a hash of the id, and documents above
-    SAMPLE_CHARS are in neither. n-grams are counted on the executors; the driver gets the counts
-    of the sample. Without any labelled text there are no languages.
+    in the one that calibrates; both are chosen by a hash of the id. Documents above SAMPLE_CHARS
+    are in the sample as far as a language has fewer others than that. Every language has a
+    document that trains. n-grams are counted on the executors; the driver gets the counts of the
+    sample. Without any labelled text there are no languages.
     """
     labelled = docs.select(
         F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(2**30)).alias("h"),
         F.col(text_col).alias("text"),
         F.col(lang_col).alias("lang"),
-    ).where((F.length("text") <= SAMPLE_CHARS) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    per_lang = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+        (F.length(text_col) > SAMPLE_CHARS).alias("long"),
+    ).where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    per_lang: dict[str, dict[bool, tuple[int, int]]] = {}
+    found = labelled.groupBy("lang", "long").agg(F.count("*").alias("n"), F.min("h").alias("first"))
+    for r in found.collect():
+        per_lang.setdefault(r["lang"], {})[r["long"]] = r["n"], r["first"]
     if not per_lang:
         return Identifier([], [], np.zeros(0), 1.0)
     wanted = TRAIN_DOCS + CALIBRATE_DOCS
-    upper, split = F.lit(None), F.lit(None)
-    for lang, n in per_lang.items():
-        share = min(1.0, wanted / n)
-        is_lang = F.col("lang") == F.lit(lang)
-        upper = F.when(is_lang, int(share * 2**30)).otherwise(upper)
-        split = F.when(is_lang, int(share * 2**30 * TRAIN_DOCS / wanted)).otherwise(split)
-    sample = labelled.where(F.col("h") < upper).select(
-        "text", "lang", (F.col("h") < split).alias("trains")
+    upper, split, first = F.lit(None), F.lit(None), F.lit(None)
+    for lang, lengths in per_lang.items():
+        is_lang, room = F.col("lang") == F.lit(lang), wanted
+        first = F.when(is_lang, lengths[min(lengths)][1]).otherwise(first)
+        for long in sorted(lengths):
+            n = lengths[long][0]
+            share = min(1.0, room / n)
+            room = max(0, room - n)
+            ours = is_lang & (F.col("long") == F.lit(long))
+            upper = F.when(ours, int(share * 2**30)).otherwise(upper)
+            split = F.when(ours, int(share * 2**30 * TRAIN_DOCS / wanted)).otherwise(split)
+    is_first = F.col("h") == first
+    sample = labelled.where((F.col("h") < upper) | is_first).select(
+        "text", "lang", ((F.col("h") < split) | is_first).alias("trains")
     )
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -355,7 +367,9 @@ def _calibrated(found: Identifier, sample: DataFrame) -> Identifier:
     overall = np.quantile(entropy, KEPT)
     for k in range(len(langs)):
         mine = entropy[own == k]
-        found.limits[k] = (np.quantile(mine, KEPT) if len(mine) >= 50 else overall) + ROOM
+        limit = np.quantile(mine, KEPT) if len(mine) else overall
+        # Few documents say little: their language has the limit of all, or more if they need it.
+        found.limits[k] = (limit if len(mine) >= 50 else max(limit, overall)) + ROOM
     root = np.sqrt(rows["n"].values)[:, None]
     losses = []
     for sharpness in (grid := np.geomspace(0.1, 10, 21)):

@@ -113,6 +113,19 @@ def test_odd_rows(spark, documents, odd_rows):
     assert all(by_id[k]["lang"] is None and by_id[k]["rejected"] for k in (3, 4, 5, 7, 8))
 
 
+def test_rare_languages_and_long_documents(spark, documents):
+    """Every language has a model: those of one document, and those of long documents only."""
+    long = "der Hund und die Katze sind im Haus mit einer Maus " * 500
+    rows = [(k, "the cat is in the house with a mouse and a dog", "en", "a") for k in range(60)]
+    rows += [(100 + k, f"un chat dans la maison numero {k}", f"l{k:02}", "a") for k in range(12)]
+    rows += [(200 + k, long, "de", "a") for k in range(6)]
+    found = langid.train(documents(rows))
+    assert found.langs == sorted({lang for _, _, lang, _ in rows})
+    said = found.identify([text for _, text, _, _ in rows])
+    assert said["lang"].tolist()[:60] == ["en"] * 60 and said["lang"].tolist()[-6:] == ["de"] * 6
+    assert not said["rejected"].any()
+
+
 def test_without_labels(spark, documents):
     found = langid.train(documents([(1, "text", None, "a")]))
     said = found.identify(["text", None, "12"])
