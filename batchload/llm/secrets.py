@@ -3,7 +3,7 @@
 Three fixed kinds of secret are found by pattern. Beyond them, every long run of key characters is
 scored by two first-order Markov models over characters, one of random strings and one of ordinary
 identifiers; a run becomes a span of kind `random` where its log-likelihood ratio per character is
-above a threshold. Both models are counts of character pairs in labelled samples: values that the
+above a threshold, and else its stretches of 16 characters and more do where theirs is. Both models are counts of character pairs in labelled samples: values that the
 patterns find are random strings, other runs of key characters are ordinary.
 """
 
@@ -31,7 +31,9 @@ LEAST_ASSIGNED = 6
 KINDS = ("assign", "access", "hex", "random")
 
 #: What the Markov models look at.
+LEAST_RUN = 16
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+SEPARATORS = "=/_-"
 #: Ordinary identifiers for training may be shorter.
 ORDINARY = re.compile(r"[A-Za-z0-9+/_=-]{8,}")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
@@ -57,8 +59,51 @@ class Models:
 
     def score(self, run: str) -> float:
         """The ratio per pair of neighbours in `run`."""
+        return float(self.ratios(run).mean())
+
+    def ratios(self, run: str) -> np.ndarray:
         codes = _CODES[np.frombuffer(run.encode("ascii"), np.uint8)]
-        return float(self.ratio[codes[:-1], codes[1:]].mean())
+        return self.ratio[codes[:-1], codes[1:]]
+
+    def best(self, run: str) -> float:
+        """The highest score of any stretch of LEAST_RUN characters or more in `run`.
+
+        A stretch of twice the least length is no better than the better of its halves.
+        """
+        sums = np.append(0.0, np.cumsum(self.ratios(run)))
+        least = LEAST_RUN - 1
+        widths = range(least, min(2 * least, len(sums)))
+        return max(float((sums[w:] - sums[:-w]).max()) / w for w in widths)
+
+    def stretches(self, run: str) -> list[tuple[int, int, float]]:
+        """(start, end, score) of what is random in `run`: all of it, or stretches between separators.
+
+        A stretch is where the pairs' ratios are above the threshold by the largest sum; it is widened
+        to the separators around it, and what is left on both sides is looked at in turn.
+        """
+        score = self.score(run)
+        if score > self.threshold:
+            return [(0, len(run), score)]
+        ratios, found, open_ = self.ratios(run), [], [(0, len(run))]
+        while open_:
+            low, high = open_.pop()
+            if high - low < LEAST_RUN:
+                continue
+            sums = np.append(0.0, np.cumsum(ratios[low : high - 1] - self.threshold))
+            least = LEAST_RUN - 1
+            lowest = np.minimum.accumulate(sums[:-least])
+            gains = sums[least:] - lowest
+            last = int(gains.argmax())
+            if gains[last] <= 1e-9:
+                continue
+            first = int(sums[: last + 1].argmin())
+            start, end = low + first, low + last + least + 1
+            score = float(ratios[start : end - 1].mean())
+            start = max(low, *(run.rfind(c, low, start) + 1 for c in SEPARATORS))
+            end = min([high, *(at for c in SEPARATORS if (at := run.find(c, end, high)) >= 0)])
+            found.append((start, end, score))
+            open_ += [(low, start), (end, high)]
+        return sorted(found)
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -86,14 +131,27 @@ def runs_outside(text: str, spans: list[tuple[int, int, int]], pattern) -> Itera
             yield m
 
 
+def outside(start: int, end: int, spans: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    """What is left of start..end, LEAST_RUN characters or more, outside `spans`, sorted by start."""
+    for span_start, _, span_end in [*spans, (end, 0, end)]:
+        if span_start - start >= LEAST_RUN:
+            yield start, span_start
+        start = max(start, span_end)
+
+
 def spans_of(text: str, models: Models) -> list[tuple[int, int, int, float]]:
     """(start, kind number, end, score), sorted by start, then kind. Fixed kinds score 1."""
     base = base_spans(text)
     found = [(*span, 1.0) for span in base]
-    for m in runs_outside(text, base, RUN):
-        score = models.score(m[0])
-        if score > models.threshold:
-            found.append((m.start(), 3, m.end(), score))
+    at, reaching = 0, []
+    for m in RUN.finditer(text):
+        while at < len(base) and base[at][0] < m.end():
+            reaching.append(base[at])
+            at += 1
+        reaching = [span for span in reaching if span[2] > m.start()]
+        for start, end in outside(m.start(), m.end(), reaching):
+            for low, high, score in models.stretches(text[start:end]):
+                found.append((start + low, 3, start + high, score))
     return sorted(found)
 
 
@@ -155,12 +213,16 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Mo
     chains = counts.reshape(2, len(ALPHABET), len(ALPHABET))
     chains = np.log(chains / chains.sum(axis=2, keepdims=True))
     ratio = chains[1] - chains[0]
+    # Words joined by separators are rare among ordinary runs: a separator is no sign of a secret.
+    joins = [ALPHABET.index(c) for c in SEPARATORS]
+    ratio[joins, :] = np.minimum(ratio[joins, :], 0)
+    ratio[:, joins] = np.minimum(ratio[:, joins], 0)
     models = Models(ratio, 0.0)
 
     def scores(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             long = batch["run"][~batch["random"] & batch["run"].str.fullmatch(RUN.pattern)]
-            tenths = np.ceil([10 * models.score(run) for run in long]).astype(np.int64)
+            tenths = np.ceil([10 * models.best(run) for run in long]).astype(np.int64)
             score, n = np.unique(tenths, return_counts=True)
             yield pd.DataFrame({"score": score, "n": n})
 
