@@ -23,7 +23,7 @@ from batchload.llm.common import mix64, stored
 ORDER = 5
 #: Expected documents per language that train the models, and that calibrate them. The labelled
 #: sample is bounded by these, not by the size of the table.
-TRAIN_DOCS = 1_000
+TRAIN_DOCS = 1_500
 CALIBRATE_DOCS = 500
 #: Longer documents are in the sample where a language has too few others.
 SAMPLE_CHARS = 20_000

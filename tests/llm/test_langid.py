@@ -126,6 +126,10 @@ def test_rare_languages_and_long_documents(spark, documents):
     assert not said["rejected"].any()
 
 
+def test_size_of_the_sample():
+    assert (langid.TRAIN_DOCS, langid.CALIBRATE_DOCS) == (1_500, 500)
+
+
 def test_without_labels(spark, documents):
     found = langid.train(documents([(1, "text", None, "a")]))
     said = found.identify(["text", None, "12"])
