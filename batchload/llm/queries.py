@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from batchload.llm import bpe, html, langid, licenses, quality, secrets
+from batchload.llm import bpe, html, langid, licenses, merkle, quality, secrets
 from batchload.llm.common import document_batches, table
 from batchload.llm.jaccard import similar_documents
 from batchload.llm.mix import mix
@@ -164,3 +164,20 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the component of documents that its shingles link it to."""
     return similar_documents(table(spark, sf_dir, "documents"))
+
+
+_DIGESTED = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Merkle manifest of the documents, checked against a copy of which a third is in lower
+    case."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    copy = F.when(tampered, F.translate("text", upper, upper.lower())).otherwise(F.col("text"))
+    found = merkle.manifest(
+        table(spark, sf_dir, "documents"), _DIGESTED, "doc_id", "lang", {"text": copy}
+    )
+    verified = (F.col("folded_root") == F.col("root")).alias("verified")
+    return found.withColumnRenamed("id", "doc_id").select("*", verified)
