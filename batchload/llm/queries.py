@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from batchload.llm import bpe, html, langid, licenses, merkle, quality, secrets
+from batchload.llm import bpe, html, langid, licenses, merkle, quality, ring, secrets
 from batchload.llm.common import document_batches, table
 from batchload.llm.jaccard import similar_documents
 from batchload.llm.mix import mix
@@ -166,6 +166,27 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_shard_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shard and slot of every document: 24 shards of near equal size, equal texts together."""
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id",
+        (F.coalesce(F.octet_length("text"), F.lit(0)) + 8).cast("long").alias("size"),
+        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+        F.xxhash64("text").alias("key"),
+    )
+    placed = ring.assign(docs, F.col("key"), F.col("size"), 24)
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 _DIGESTED = ["doc_id", "source", "lang", "n_chars", "text"]
 
 

@@ -1,0 +1,121 @@
+"""Shards of a ring against a plain walk, and what the ring promises."""
+
+from __future__ import annotations
+
+import os
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from batchload.llm import ring
+from batchload.llm.queries import QUERIES
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
+def walk(spots, sizes, n_shards, slack):
+    """One unit after the other, point by point around the ring."""
+    points = sorted(
+        (int.from_bytes(ring.sha256(f"{s}:{k}".encode()).digest()[:8]), s)
+        for s in range(n_shards)
+        for k in range(ring.POINTS)
+    )
+    limit, load, out = sum(sizes) * (1 + slack) / n_shards, Counter(), []
+    for spot, size in zip(spots, sizes):
+        at = next((i for i, (p, _) in enumerate(points) if p >= spot), 0)
+        for k in range(len(points)):
+            shard = points[(at + k) % len(points)][1]
+            if load[shard] + size <= limit * (1 + 1e-12):
+                break
+        else:
+            shard = min(range(n_shards), key=lambda s: (load[s], s))
+        load[shard] += size
+        out.append(shard)
+    return out
+
+
+def test_fill_is_the_walk_around_the_ring():
+    rng = random.Random(5)
+    spots = [rng.getrandbits(64) for _ in range(800)]
+    sizes = [rng.randint(1, 400) for _ in spots]
+    for n_shards, slack in ((1, 0.0), (3, 0.01), (7, 0.2)):
+        assert ring.fill(spots, sizes, n_shards, slack).tolist() == walk(spots, sizes, n_shards, slack)
+
+
+def shards(df, n_shards=24, slack=ring.SLACK):
+    return ring.assign(df, F.col("text"), F.octet_length("text") + 8, n_shards, slack).collect()
+
+
+def gapless(rows):
+    slots = defaultdict(list)
+    for row in rows:
+        slots[row.shard].append(row.slot)
+    return all(sorted(found) == list(range(len(found))) for found in slots.values())
+
+
+@pytest.fixture(scope="module")
+def many(spark):
+    """30,000 rows of 12,000 texts; a third of the rows share one text, some repeat whole."""
+    hot = "CASE WHEN id % 3 = 0 THEN 'the same text' ELSE concat('text ', id % 12000, repeat('x', cast(id % 97 AS int))) END"
+    df = spark.range(30_000).selectExpr("id AS doc_id", f"{hot} AS text")
+    return df.unionAll(df.where("doc_id = 3").crossJoin(spark.range(500)).select("doc_id", "text")).cache()
+
+
+def test_sizes_are_near_equal_and_slots_gapless(many):
+    rows = shards(many)
+    assert Counter((r.doc_id, r.text) for r in rows) == Counter((r.doc_id, r.text) for r in many.collect())
+    assert gapless(rows) and {r.shard for r in rows} == set(range(24))
+    sizes = Counter()
+    for r in rows:
+        sizes[r.shard] += len(r.text) + 8
+    mean = sum(sizes.values()) / 24
+    assert max(sizes.values()) <= 1.001 * mean and min(sizes.values()) >= 0.97 * mean
+
+
+def test_equal_texts_stay_together(many):
+    where, n = defaultdict(set), Counter()
+    for r in shards(many):
+        where[r.text].add(r.shard)
+        n[r.text] += 1
+    assert all(len(found) == 1 for text, found in where.items() if n[text] < 10)
+    # A third of the rows cannot be in one shard of 24, but is in few.
+    assert len(where["the same text"]) <= 12
+
+
+def test_one_shard_more_moves_little(many):
+    """A plain remainder would move 24 rows of 25."""
+    one = Counter((r.doc_id, r.text, r.shard) for r in shards(many, 24, 0.05))
+    two = Counter((r.doc_id, r.text, r.shard) for r in shards(many, 25, 0.05))
+    assert sum((one - two).values()) < 0.3 * sum(one.values())
+
+
+def test_reruns_and_row_order_do_not_matter(many):
+    one = Counter(tuple(r) for r in shards(many))
+    assert one == Counter(tuple(r) for r in shards(many.repartition(5, "text")))
+
+
+def test_odd_rows(spark, documents, odd_rows):
+    df = documents(odd_rows).withColumn("shard", F.lit("old"))
+    size = F.coalesce(F.octet_length("text"), F.lit(0)) + 8
+    placed = ring.assign(df, F.col("text"), size, 5)
+    rows = placed.collect()
+    assert placed.columns == [*[c for c in df.columns if c != "shard"], "shard", "slot"]
+    assert len(rows) == len(odd_rows) and gapless(rows)
+    assert ring.assign(df.where("false"), F.col("text"), size, 5).collect() == []
+
+
+def test_query(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()
+    rows = QUERIES["op12_shard_ring"](spark, SF_DIR)
+    assert rows.dtypes == [
+        ("doc_id", "bigint"), ("size", "bigint"), ("text_crc32", "bigint"), ("law", "string"),
+        ("shard", "int"), ("slot", "bigint"), ("grown_shard", "int"),
+    ]
+    rows = rows.collect()
+    said = sorted((r.doc_id, r.size, r.text_crc32) for r in rows)
+    text = [(d.doc_id, (d.text or "").encode()) for d in docs]
+    assert said == sorted((i, len(t) + 8, zlib.crc32(t)) for i, t in text)
+    assert gapless(rows) and {(r.law, r.grown_shard) for r in rows} == {("bytes", None)}
