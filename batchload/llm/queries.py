@@ -15,6 +15,7 @@ from batchload.llm.jaccard import similar_documents
 from batchload.llm.mix import mix
 from batchload.llm.neardup import near_duplicates
 from batchload.llm.topk import top_k
+from batchload.llm.trie import trie
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -166,6 +167,12 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the conversations."""
+    return trie(table(spark, sf_dir, "conversations"))
+
+
 @query
 def op12_shard_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The shard and slot of every document: 24 shards of near equal size, equal texts together."""
