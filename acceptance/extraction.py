@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from acceptance.planning import MIXED_REQUEST, MIXED_SQL
 from acceptance.registry import in_batch_sql, parts_sql, query, table, windows_sql
@@ -147,3 +148,54 @@ def batch_assign_many_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     rows = table(spark, sf_dir, "events")
     return extract.assign_batches(rows, build(spark, request), "ts", "event_type")
+
+
+# Events moved into the night of a clock change in New York, as instants: at 06:00 UTC local time
+# goes from 02:00 back to 01:00.
+_NIGHT_SQL = """SELECT event_id, event_type,
+           CASE WHEN u < TIMESTAMP '2024-11-03 06:00:00' THEN u - INTERVAL 4 HOUR
+                ELSE u - INTERVAL 5 HOUR END AS local_ts
+    FROM (SELECT *, TIMESTAMP '2024-11-03 03:00:00' + to_seconds(event_id % 2000 * 11) AS u
+          FROM events)"""
+_NIGHT_ITEMS = [
+    ("partition_range", name, "2024-11-03 01:30:00", "2024-11-03 04:30:00")
+    for name in ("click", "view", "signup", "error", "purchase", "click", "view")
+]
+
+
+def _night_oracle(items: list[tuple[str, str | None, str | None, str | None]]) -> str:
+    return f"""WITH w AS ({parts_sql(items, 3600)}), n AS ({_NIGHT_SQL})
+        SELECT event_id, local_ts, batch_id FROM n JOIN w ON {in_batch_sql("local_ts", "event_type")}"""
+
+
+def _night(spark: SparkSession, sf_dir: str, names: int) -> DataFrame:
+    """Hourly batches from within the hour that comes twice, over a column of instants."""
+    zone = "spark.sql.session.timeZone"
+    before = spark.conf.get(zone)
+    spark.conf.set(zone, "America/New_York")
+    try:
+        first = F.lit(int(datetime(2024, 11, 3, 3, tzinfo=timezone.utc).timestamp()))
+        rows = table(spark, sf_dir, "events").select(
+            "event_id",
+            "event_type",
+            F.timestamp_seconds(first + F.col("event_id") % 2000 * 11).alias("ts"),
+        )
+        spec = ",".join(f"{item[1]}:202411030130-202411030430" for item in _NIGHT_ITEMS[:names])
+        request = BatchRequest("night", "yyyyMMddHHmm", partitions=spec, interval_seconds=3600)
+        tagged = extract.assign_batches(rows, build(spark, request), "ts", "event_type")
+        local = F.col("ts").cast("timestamp_ntz").alias("local_ts")
+        return tagged.select("event_id", local, "batch_id")
+    finally:
+        spark.conf.set(zone, before)
+
+
+@query("batch_assign_zoned", _night_oracle(_NIGHT_ITEMS[:1]))
+def batch_assign_zoned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches of a column with a zone go by local time, by expression."""
+    return _night(spark, sf_dir, 1)
+
+
+@query("batch_assign_zoned_many", _night_oracle(_NIGHT_ITEMS))
+def batch_assign_zoned_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with more items than an expression takes, by join."""
+    return _night(spark, sf_dir, 7)

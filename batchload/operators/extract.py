@@ -60,15 +60,16 @@ def in_bounds(
         conditions.append(F.col(time_col) < _bound(df, time_col, upper))
     if conditions and isinstance(df.schema[time_col].dataType, T.TimestampType):
         # Bounds are zone-free: local times are compared, also where a clock change repeats an
-        # hour. The scan gets bounds that are a day wider.
+        # hour. They are compared by their difference, as the optimizer would turn a comparison with
+        # the cast column into one of instants. The scan gets bounds that are a day wider.
         conditions = []
-        local = F.col(time_col).cast("timestamp_ntz")
+        local, zero = F.col(time_col).cast("timestamp_ntz"), F.expr("INTERVAL '0' SECOND")
         if lower is not None:
             conditions.append(F.col(time_col) >= _bound(df, time_col, lower - DAY))
-            conditions.append(local >= ntz_literal(lower))
+            conditions.append(local - ntz_literal(lower) >= zero)
         if upper is not None:
             conditions.append(F.col(time_col) < _bound(df, time_col, upper + DAY))
-            conditions.append(local < ntz_literal(upper))
+            conditions.append(local - ntz_literal(upper) < zero)
     return reduce(Column.__and__, conditions) if conditions else F.lit(True)
 
 

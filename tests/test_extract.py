@@ -319,6 +319,40 @@ def test_expression_and_join_agree(spark, monkeypatch, spec, kind, zone):
         spark.conf.set("spark.sql.session.timeZone", before)
 
 
+@pytest.mark.parametrize(
+    "first, hours", [(datetime(2024, 11, 2, 22), 12), (datetime(2024, 3, 9, 22), 12)]
+)
+def test_bounds_in_the_hour_of_a_clock_change(spark, monkeypatch, first, hours):
+    """The hour that comes twice and the one that never comes: local time decides, by expression,
+    by join and in a plain window."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        zoned = spark.range(hours * 12).selectExpr(
+            "id", "CASE id % 2 WHEN 0 THEN 'a' ELSE 'b' END AS p",
+            f"timestamp_seconds(unix_timestamp(TIMESTAMP'{first}') + id * 300) AS t",
+        )
+        rows = [
+            (r.id, r.local, r.p)
+            for r in zoned.select("id", zoned["t"].cast("timestamp_ntz").alias("local"), "p").collect()
+        ]
+        day = first + timedelta(days=1)
+        for start, end in (("0130", "0430"), ("0215", "0245"), ("0100", "0200"), ("0200", "0300"), ("0000", "0230")):
+            spec = f"a:{day:%Y%m%d}{start}-{day:%Y%m%d}{end}"
+            for items in (spec, ",".join([spec, "b"] * 4)):
+                request = BatchRequest("job", "yyyyMMddHHmm", partitions=items, interval_seconds=3600)
+                plan = build(spark, request)
+                for most in (0, 100):
+                    monkeypatch.setattr(extract, "INLINE_ITEMS", most)
+                    got = extract.assign_batches(zoned, plan, "t", "p").collect()
+                    assert Counter((r.id, r.batch_id) for r in got) == brute(rows, plan)
+            lower, upper = (datetime.strptime(f"{day:%Y%m%d}{x}", "%Y%m%d%H%M") for x in (start, end))
+            inside = {r.id for r in extract.window(zoned, "t", lower, upper).collect()}
+            assert inside == {i for i, t, _ in rows if lower <= t < upper}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_a_batch_id_is_never_replaced(spark):
     rows = spark.createDataFrame([(1, "a")], "batch_id int, p string")
     for spec in ("a", "a,b,c,d,e,f,g,h"):
