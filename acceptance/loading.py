@@ -12,7 +12,7 @@ from acceptance.registry import in_batch_sql, parts_counts_sql, query, shared_pa
 from batchload import BatchPlan, BatchRequest, build, tumbling
 from batchload.operators.audit import BATCH_KEY, current
 from batchload.operators.extract import assign_batches, within_days
-from batchload.runner import LoadError, load, read_manifest
+from batchload.runner import LoadError, load, read_jobs, read_manifest
 from batchload.sinks.files import read_batches, write_batches, written_counts
 
 DAY = 86400
@@ -37,6 +37,7 @@ class Job:
         """Load a plan; `rows` is what the source holds now, `fails_at` a batch whose job fails."""
         source = self.rows if rows is None else rows
         put = partial(write_batches, path=self.target, load_name=name)
+        options.setdefault("time_col", self.time_col)
 
         def read(piece: BatchPlan) -> DataFrame:
             if fails_at is not None and piece.between(fails_at, fails_at).items:
@@ -175,6 +176,96 @@ def reload_emptied_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return job.checked("daily")
 
 
+@query(
+    "resume_killed_job",
+    f"""WITH w AS ({windows_sql("2024-01-01", "2024-01-13", DAY)})
+        SELECT event_id, ts, batch_id FROM events JOIN w ON ts >= s AND ts < e""",
+)
+def resume_killed_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load whose driver is killed after the second job's rows are in the target and before they
+    are recorded, resumed. The target is a plain folder that knows nothing of attempts."""
+    job, plan = _events(spark, sf_dir), _days(spark, "20240101", "20240113")
+    rows = job.rows.select("event_id", "ts")
+    written: list[str] = []
+
+    def put(tagged: DataFrame, attempt: str) -> None:
+        tagged.write.mode("append").parquet(job.target)
+        written.append(attempt)
+        if len(written) == 2:
+            raise KeyboardInterrupt
+
+    def put_rest(tagged: DataFrame, attempt: str) -> None:
+        there = spark.read.parquet(job.target).select("event_id")
+        tagged.join(there, "event_id", "left_anti").write.mode("append").parquet(job.target)
+
+    def read(piece: BatchPlan) -> DataFrame:
+        return assign_batches(rows, piece, "ts")
+
+    try:
+        load(spark, plan, read, put, job.manifest, "killed", num_jobs=3)
+    except KeyboardInterrupt:
+        load(
+            spark, plan, read, put, job.manifest, "killed", num_jobs=3, resume=True,
+            rewrite=put_rest,
+        )
+    return spark.read.parquet(job.target)
+
+
+_BAD_DAY = "ts >= TIMESTAMP '2024-01-17' AND ts < TIMESTAMP '2024-01-18'"
+
+
+@query(
+    "bisect_failed_job",
+    f"""SELECT batch_id, s AS start_ts, e AS end_ts,
+               CASE WHEN bad > 0 THEN 'failed' ELSE 'ok' END AS status,
+               CASE WHEN bad > 0 THEN NULL ELSE n END AS n_rows
+        FROM (SELECT *, (SELECT count(*) FROM events WHERE ts >= s AND ts < e) AS n,
+                     (SELECT count(*) FROM events WHERE ts >= s AND ts < e AND {_BAD_DAY}) AS bad
+              FROM ({windows_sql("2024-01-01", "2024-01-31", DAY)}))""",
+)
+def bisect_failed_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One job of thirty batches, one of which holds rows that cannot be read: all others are
+    loaded."""
+    job, plan = _events(spark, sf_dir), _days(spark, "20240101", "20240131")
+    bad = F.expr(_BAD_DAY.replace("TIMESTAMP '", "TIMESTAMP_NTZ'"))
+    unreadable = F.when(bad, F.raise_error(F.lit("unreadable"))).otherwise(F.col("props"))
+    try:
+        job.run(plan, "daily", rows=job.rows.withColumn("props", unreadable), on_error="bisect")
+    except LoadError:
+        pass
+    return job.finished().select("batch_id", "start_ts", "end_ts", "status", "n_rows")
+
+
+@query(
+    "observed_metrics",
+    f"""SELECT min(batch_id) AS first_batch_id, max(batch_id) AS last_batch_id,
+               count(ts) AS n_rows, min(ts) AS least_ts, max(ts) AS greatest_ts, TRUE AS agree
+        FROM ({windows_sql("2024-01-01", "2024-01-13", DAY)})
+        LEFT JOIN events ON ts >= s AND ts < e GROUP BY batch_id // 3""",
+)
+def observed_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What passed by in the write of every job, against the rows that were read back."""
+    job = _events(spark, sf_dir)
+    job.run(_days(spark, "20240101", "20240113"), "daily", num_jobs=4)
+    counted = job.finished().groupBy("attempt").agg(F.sum("n_rows").alias("in_target"))
+    return read_jobs(spark, job.manifest).join(counted, "attempt").select(
+        "first_batch_id",
+        "last_batch_id",
+        "n_rows",
+        "least_ts",
+        "greatest_ts",
+        (F.col("n_rows") == F.col("in_target")).alias("agree"),
+    )
+
+
+@query("concurrent_jobs", _checked_sql("daily", "2024-01-01", "2024-01-31"))
+def concurrent_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten jobs of a load, up to four of them at the same time."""
+    job = _events(spark, sf_dir)
+    job.run(_days(spark, "20240101", "20240131"), "daily", num_jobs=10, max_concurrent=4)
+    return job.checked("daily")
+
+
 @query(
     "extract_by_day",
     f"""WITH w AS ({windows_sql("2024-01-10", "2024-01-13", 6 * 3600)})

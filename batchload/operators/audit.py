@@ -16,6 +16,17 @@ MANIFEST_SCHEMA = (
     "partition string, occurrence int, attempt string, n_rows bigint, status string, "
     "finished_at timestamp"
 )
+# Written before a job writes its rows, so that a job whose driver was killed leaves a trace.
+STARTED_SCHEMA = (
+    "load_name string, batch_id bigint, start_ts timestamp_ntz, end_ts timestamp_ntz, "
+    "partition string, occurrence int, started_at timestamp, attempt string"
+)
+# One row for every job of a load, with what was seen to pass by while it wrote.
+JOBS_SCHEMA = (
+    "load_name string, attempt string, first_batch_id bigint, last_batch_id bigint, "
+    "status string, n_rows bigint, least_ts timestamp_ntz, greatest_ts timestamp_ntz, "
+    "seconds double, finished_at timestamp"
+)
 # Batches in these states are in the target. `uncounted` ones are, but nobody knows how many rows.
 LOADED = ("ok", "uncounted")
 
@@ -89,12 +100,31 @@ def pending(plan_frame: DataFrame, finished: DataFrame, load_name: str = "load")
     return plan_frame.join(done, _same_batch(plan_frame, done), "left_anti")
 
 
+def started(batches: DataFrame, load_name: str = "load") -> DataFrame:
+    """What is written down of batches before their rows are; number them as for `manifest`."""
+    return numbered(batches).select(
+        F.lit(load_name).alias("load_name"),
+        "batch_id",
+        *BATCH_KEY,
+        F.current_timestamp().alias("started_at"),
+    )
+
+
 def failed_before(
-    batches: DataFrame, finished: DataFrame, load_name: str = "load"
+    batches: DataFrame,
+    finished: DataFrame,
+    load_name: str = "load",
+    begun: DataFrame | None = None,
 ) -> DataFrame:
-    """Those plan rows of which an earlier run of this load failed."""
-    mine = finished.where((F.col("load_name") == load_name) & (F.col("status") == "failed"))
-    failed = mine.select(*BATCH_KEY).distinct()
+    """Those plan rows of which an earlier run of this load failed, or began (according to `begun`)
+    and never ended."""
+    mine = F.col("load_name") == load_name
+    failed = finished.where(mine & (F.col("status") == "failed")).select(*BATCH_KEY)
+    if begun is not None:
+        ended = finished.select("attempt").distinct()
+        left = begun.where(mine).join(ended, "attempt", "left_anti")
+        failed = failed.unionAll(left.select(*BATCH_KEY))
+    failed = failed.distinct()
     return batches.join(failed, _same_batch(batches, failed), "left_semi")
 
 

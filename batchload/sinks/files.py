@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +21,8 @@ def write_batches(
 ) -> None:
     """Write tagged rows as Parquet under `load_name=.../attempt=.../batch_id=...`.
 
+    Every attempt is a write of its own folder, so several may run at the same time.
+
     Every attempt has folders of its own, and the manifest says which attempt of a batch counts:
     `read_batches` reads those. So a rerun replaces a batch as a whole, also by nothing, whatever
     its number was in an earlier plan, and an attempt that failed is never read.
@@ -30,13 +34,17 @@ def write_batches(
     """
     if rebalance:
         tagged = tagged.hint("rebalance", "batch_id")
-    (
-        tagged.withColumn("load_name", F.lit(load_name))
-        .withColumn("attempt", F.lit(attempt))
-        .write.mode("append")
-        .partitionBy("load_name", "attempt", "batch_id")
-        .parquet(path)
-    )
+    folder = f"{path.rstrip('/')}/load_name={_folder_name(load_name)}/attempt={attempt}"
+    tagged.write.mode("append").partitionBy("batch_id").parquet(folder)
+
+
+def _folder_name(value: str) -> str:
+    """A partition value as Spark spells it in a path: signs of ASCII but a few as %XX."""
+    return re.sub(r"[^\w.@+, -]", _escaped, value)
+
+
+def _escaped(match: re.Match) -> str:
+    return f"%{ord(match[0]):02X}" if match[0].isascii() else match[0]
 
 
 def read_batches(
