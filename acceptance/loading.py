@@ -14,6 +14,7 @@ from batchload.operators.audit import BATCH_KEY, current
 from batchload.operators.extract import assign_batches, within_days
 from batchload.runner import LoadError, load, read_jobs, read_manifest
 from batchload.sinks.files import read_batches, write_batches, written_counts
+from batchload.sources import zones
 
 DAY = 86400
 
@@ -282,3 +283,43 @@ def extract_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pruned_by_day(by_day: DataFrame) -> DataFrame:
     plan = tumbling(by_day.sparkSession, "2024011000", "2024011300", "yyyyMMddHH", 6 * 3600)
     return assign_batches(within_days(by_day, "day", *plan.hull()), plan, "ts")
+
+
+_SPANS = [("20240103", "20240104"), ("20240110", "20240113"), ("20240101", "20240131")]
+
+
+@query(
+    "extract_zone_map",
+    """WITH f AS (SELECT min(ts) AS least, max(ts) AS greatest FROM events
+                  GROUP BY CAST(ts AS DATE)) """
+    + " UNION ALL ".join(
+        f"""SELECT '{a}' AS first_day, (SELECT count(*) FROM f) AS n_files,
+                   (SELECT count(*) FROM f WHERE greatest >= strptime('{a}', '%Y%m%d')
+                    AND least < strptime('{b}', '%Y%m%d')) AS n_read,
+                   (SELECT count(*) FROM events WHERE ts >= strptime('{a}', '%Y%m%d')
+                    AND ts < strptime('{b}', '%Y%m%d')) AS n_rows"""
+        for a, b in _SPANS
+    ),
+)
+def extract_zone_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A copy with a file a day, read through its zone map: files read shrink with the range."""
+    path, map_path = shared_path(spark, "zoned"), shared_path(spark, "zones")
+    rows = table(spark, sf_dir, "events")
+    days = rows.withColumn("day", F.to_date("ts")).repartition(8, "day")
+    days.write.partitionBy("day").parquet(path)
+    copy = spark.read.parquet(path)
+    found = zones.update(spark, map_path, path, "ts")
+    parts = []
+    for first, last in _SPANS:
+        plan = _days(spark, first, last)
+        picked = zones.pick(copy, found, plan, path)
+        counts = assign_batches(picked, plan, "ts").agg(F.count(F.lit(1)).alias("n_rows"))
+        parts.append(
+            counts.select(
+                F.lit(first).alias("first_day"),
+                F.lit(len(copy.inputFiles())).cast("bigint").alias("n_files"),
+                F.lit(len(picked.inputFiles())).cast("bigint").alias("n_read"),
+                "n_rows",
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)

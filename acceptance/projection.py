@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acceptance.registry import query, shared_path, table
-from batchload.operators import project
+from batchload.operators import collapse, project
 from batchload.sinks.files import insert_into
 
 
@@ -67,3 +67,38 @@ def positional_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderdate")
     insert_into(project.with_sign_version(rows, "o_orderdate"), target)
     return spark.table(target)
+
+
+# A change log of `orders`: every order once; a third of them changed, so cancelled and written anew;
+# a fifth of them cancelled for good.
+_CHANGES = """
+    explode(filter(array(
+        struct(1 AS sign, 1 AS version, o_orderstatus AS status),
+        IF(o_orderkey % 3 = 0, struct(-1 AS sign, 1 AS version, o_orderstatus AS status), NULL),
+        IF(o_orderkey % 3 = 0, struct(1 AS sign, 2 AS version, 'X' AS status), NULL),
+        IF(o_orderkey % 5 = 0, struct(-1 AS sign, IF(o_orderkey % 3 = 0, 2, 1) AS version,
+                                      NULL AS status), NULL)
+    ), x -> x IS NOT NULL)) AS change"""
+
+
+@query(
+    "collapse_changes",
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 2 ELSE 1 END AS version,
+              CASE WHEN o_orderkey % 3 = 0 THEN 'X' ELSE o_orderstatus END AS status
+       FROM orders WHERE o_orderkey % 5 <> 0""",
+)
+def collapse_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log in four batches, some of which cancel what comes later, folded one by one."""
+    orders = table(spark, sf_dir, "orders")
+    log = orders.selectExpr("o_orderkey", _CHANGES).select("o_orderkey", "change.*")
+    batch = F.pmod(F.xxhash64("o_orderkey", "sign", "version"), F.lit(4))
+    state = None
+    for number in range(4):
+        changes = log.where(batch == number)
+        folded = collapse.net(changes, ["o_orderkey"]) if state is None else collapse.fold(
+            state, changes, ["o_orderkey"]
+        )
+        path = shared_path(spark, "state")
+        folded.write.parquet(path)
+        state = spark.read.schema(folded.schema).parquet(path)
+    return collapse.present(state, ["o_orderkey"])
