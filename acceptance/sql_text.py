@@ -168,3 +168,19 @@ def sql_per_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     frames = {"orders": table(spark, sf_dir, "orders")}
     plan = tumbling(spark, "19950101", "20020101", "yyyyMMdd", 365 * DAY)
     return sql.select_each(spark, text, plan, frames)
+
+
+@query(
+    "sql_batches",
+    f"""WITH w AS ({windows_sql("1995-01-01", "2002-01-01", DAY)})
+        SELECT batch_id, o_orderpriority, count(*) AS n_orders, max(o_totalprice) AS highest
+        FROM orders JOIN w ON o_orderdate >= s AND o_orderdate < e
+        WHERE o_orderstatus <> 'P' GROUP BY ALL""",
+)
+def sql_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An aggregate of each of 2,557 batches, in one scan."""
+    plan = tumbling(spark, "19950101", "20020101", "yyyyMMdd", DAY)
+    text = """SELECT batch_id, o_orderpriority, count(*) AS n_orders, max(o_totalprice) AS highest
+              FROM {rows} WHERE o_orderstatus <> :skipped GROUP BY batch_id, o_orderpriority"""
+    rows = table(spark, sf_dir, "orders")
+    return sql.select_batches(spark, text, rows, plan, "o_orderdate", skipped="P")
