@@ -37,8 +37,9 @@ CHUNK = 64
 PAIRS = 4096
 #: Pairs of whole sets that Python holds at once.
 PAIR_BATCH = 500
-#: A size band ends at this multiple of its start.
-BAND = 1.4
+#: A size band ends at this multiple of its start. Wider bands have more empty parts, narrower ones
+#: have more sets that list keys of the next band too.
+BAND = 1.8
 LEVELS = 64
 #: No set is as large: a string ends below this many bytes. The bands reach it with 60 levels at most.
 LONGEST = 1 << 31
@@ -140,14 +141,16 @@ def set_hash(elements: np.ndarray) -> int:
     return int(mix64(np.array([total + np.uint64(len(elements))]))[0].astype(np.int64))
 
 
-def keys_of(elements: np.ndarray, rule: Similarity) -> np.ndarray:
-    """The keys of a set in its own level and, as a smaller partner, in the next one.
+def _of_levels(
+    elements: np.ndarray, rule: Similarity
+) -> Iterator[tuple[Level, np.ndarray, np.ndarray]]:
+    """Level, keys, and which of them are of empty parts: for a set's own level and, as a smaller
+    partner, the next one.
 
     A key holds its level in the last six bits. Of the keys of a level those with the smallest
     values are kept: enough that linked sets have `spare` + 1 of them in common.
     """
     size = len(elements)
-    out = []
     for level in levels(rule):
         largest = rule.largest(size)
         if level.low > largest:
@@ -161,13 +164,37 @@ def keys_of(elements: np.ndarray, rule: Similarity) -> np.ndarray:
         parts = np.diff(upto, prepend=np.uint64(0))
         keys = mix64(mix64(parts) + level.seeds)
         keys = (keys & ~np.uint64(63)) | np.uint64(level.number)
+        empty = np.diff(ends, prepend=0) == 0
         kept = rule.most_different(size + min(level.high, largest)) + 1 + level.spare
         if kept < len(keys):
-            keys = np.partition(keys, kept - 1)[:kept]
-        out.append(keys)
+            at = np.argpartition(keys, kept - 1)[:kept]
+            keys, empty = keys[at], empty[at]
+        yield level, keys, empty
+
+
+def keys_of(elements: np.ndarray, rule: Similarity) -> np.ndarray:
+    """The keys of a set, of all its levels."""
+    out = [keys for _, keys, _ in _of_levels(elements, rule)]
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
+def telling_keys(elements: np.ndarray, rule: Similarity) -> tuple[np.ndarray, list[int]]:
+    """The keys of a set without those of empty parts, as far as `spare` allows; and for each level,
+    in the last six bits, how many more may be dropped, by their frequency.
+
+    Keys of empty parts say nothing, and very many sets have them. All keys are dropped by one
+    order: of linked sets, the last key in it that they share is not among the first `spare` of
+    either, so they still share that one.
+    """
+    out, quotas = [np.zeros(0, np.uint64)], []
+    for level, keys, empty in _of_levels(elements, rule):
+        at = np.flatnonzero(empty)
+        at = at[np.argsort(keys[at])][::-1][: level.spare]
+        out.append(np.delete(keys, at))
+        quotas.append((level.spare - len(at)) << 6 | level.number)
+    return np.concatenate(out), quotas
+
+
 def signature(elements: np.ndarray) -> bytes:
     """A bitmap of one bit per element, by its last bits; at least 16 times as many bits as elements."""
     bits = max(64, 1 << (16 * max(1, len(elements)) - 1).bit_length())
@@ -185,7 +212,7 @@ def folded(bitmap: np.ndarray, words: int) -> np.ndarray:
 
 
 def described(docs: DataFrame, n: int, rule: Similarity) -> DataFrame:
-    """(doc_id, n_shingles, node, keys) for every row of (doc_id, text).
+    """(doc_id, n_shingles, node, quotas, keys) for every row of (doc_id, text).
 
     `node` is a hash of the set, so that equal sets are one node; null without shingles.
     """
@@ -193,13 +220,15 @@ def described(docs: DataFrame, n: int, rule: Similarity) -> DataFrame:
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler(n)
         for batch in batches:
-            sizes, nodes, keys, offsets = [], [], [], [0]
+            sizes, nodes, quotas, keys, offsets = [], [], [], [], [0]
             texts = batch.column(1)
             for row in range(batch.num_rows):
                 elements = shingles(texts[row].as_py())
                 sizes.append(len(elements))
                 nodes.append(set_hash(elements) if len(elements) else None)
-                keys.append(keys_of(elements, rule))
+                found, quota = telling_keys(elements, rule)
+                keys.append(found)
+                quotas.append(quota)
                 offsets.append(offsets[-1] + len(keys[-1]))
             flat = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
             yield pa.RecordBatch.from_arrays(
@@ -207,31 +236,33 @@ def described(docs: DataFrame, n: int, rule: Similarity) -> DataFrame:
                     batch.column(0),
                     pa.array(sizes, pa.int64()),
                     pa.array(nodes, pa.int64()),
+                    pa.array(quotas, pa.list_(pa.int64())),
                     pa.ListArray.from_arrays(
                         pa.array(offsets, pa.int32()), pa.array(flat.view(np.int64), pa.int64())
                     ),
                 ],
-                names=["doc_id", "n_shingles", "node", "keys"],
+                names=["doc_id", "n_shingles", "node", "quotas", "keys"],
             )
 
-    schema = "doc_id long, n_shingles long, node long, keys array<long>"
+    schema = "doc_id long, n_shingles long, node long, quotas array<long>, keys array<long>"
     return docs.mapInArrow(describe, schema)
 
 
-def listed(rows: DataFrame, rule: Similarity) -> DataFrame:
+def listed(rows: DataFrame) -> DataFrame:
     """(key, node): the keys that several rows have, less those that can be dropped."""
     each = rows.select("node", F.explode("keys").alias("key"))
     shared = each.groupBy("key").agg(F.count("*").alias("rows")).where("rows > 1")
     held = each.join(shared, "key").groupBy("key", "node").agg(
         F.first("rows").alias("rows")
     )
-    level = F.col("key").bitwiseAND(F.lit(63))
-    spare = F.element_at(
-        F.array(*[F.lit(level.spare) for level in levels(rule)]), (level + 1).cast("int")
+    # How many keys of a node and level may still go: a row for each, the same for all copies.
+    quotas = rows.select("node", F.explode("quotas").alias("quota")).distinct().select(
+        "node", F.col("quota").bitwiseAND(F.lit(63)).alias("level"), F.shiftright("quota", 6).alias("quota")
     )
-    order = Window.partitionBy("node", level).orderBy(F.desc("rows"), F.desc("key"))
-    held = held.withColumn("place", F.row_number().over(order)).where(F.col("place") > spare)
-    return stored(held.select("key", "node"))
+    held = held.withColumn("level", F.col("key").bitwiseAND(F.lit(63)))
+    order = Window.partitionBy("node", "level").orderBy(F.desc("rows"), F.desc("key"))
+    held = held.join(quotas, ["node", "level"]).withColumn("place", F.row_number().over(order))
+    return stored(held.where(F.col("place") > F.col("quota")).select("key", "node"))
 
 
 def sets_of(docs: DataFrame, classes: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
@@ -407,7 +438,7 @@ def similar_documents(
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = stored(described(docs, n, rule))
     named = rows.where("doc_id IS NOT NULL AND node IS NOT NULL")
-    held = listed(named, rule)
+    held = listed(named)
     classes = stored(named.groupBy("node").agg(F.min("doc_id").alias("low")))
     sets = sets_of(docs, classes, held.select("node").distinct(), n)
     star = stars(held)

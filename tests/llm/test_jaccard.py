@@ -11,7 +11,14 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from batchload.llm import jaccard
-from batchload.llm.jaccard import Shingler, Similarity, keys_of, levels, similar_documents
+from batchload.llm.jaccard import (
+    Shingler,
+    Similarity,
+    keys_of,
+    levels,
+    similar_documents,
+    telling_keys,
+)
 
 
 def shingle_set(text, n=4):
@@ -74,6 +81,32 @@ def test_linked_sets_keep_keys_in_common(seed, n, share):
     )
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.integers(0, 2**31), st.integers(1, 900), st.floats(0, 0.22), st.sampled_from([80, 85]))
+def test_linked_sets_share_a_key_when_keys_are_dropped(seed, n, share, percent):
+    """Empty parts first, then by frequency, whatever the frequencies are."""
+    rule, rng = Similarity(percent), np.random.default_rng(seed)
+    x = rng.integers(0, 2**63, n, dtype=np.uint64)
+    changed = int(n * share)
+    y = np.concatenate([x[changed:], rng.integers(0, 2**63, rng.integers(0, changed + 1), dtype=np.uint64)])
+    x, y = np.unique(x), np.unique(y)
+    common, union = len(np.intersect1d(x, y)), len(np.union1d(x, y))
+    if np.array_equal(x, y) or 100 * common < percent * union:
+        return
+
+    def left(elements):
+        keys, quotas = telling_keys(elements, rule)
+        assert len(keys) <= len(keys_of(elements, rule))
+        out = []
+        for quota in quotas:
+            mine = [int(k) for k in keys if int(k) & 63 == quota & 63]
+            mine.sort(key=lambda k: (-(hash((k, seed)) % 7), -k))
+            out += mine[quota >> 6 :]
+        return set(out)
+
+    assert left(x) & left(y)
+
+
 def test_very_large_sets_keep_keys_in_common():
     """Texts of 30 MB and more: 5.3 million shingles, 0.95 of them in common."""
     rule, rng = Similarity(), np.random.default_rng(3)
