@@ -104,10 +104,23 @@ def test_odd_rows(spark, documents, odd_rows):
         assert stage(spark, empty, SF_DIR).count() == 0
 
 
-def test_rows_that_repeat_an_id_are_one(spark, documents):
+def test_equal_rows_are_one_and_no_text_is_lost(spark, documents):
     docs = documents([(1, "a b c d e f", "en", "a"), (1, "a b c d e f", "en", "a"), (1, "other", "en", "a")])
-    (row,) = corpus_pipeline.near_duplicates(spark, docs, SF_DIR).collect()
-    assert row["text"] == "a b c d e f"
+    rows = corpus_pipeline.near_duplicates(spark, docs, SF_DIR).collect()
+    assert sorted(row["text"] for row in rows) == ["a b c d e f", "other"]
+
+
+def test_texts_of_one_id_go_only_with_a_similar_one(spark, documents):
+    """Every text that is not similar to one that stays is there, whatever ids it shares."""
+    texts = {name: " ".join(f"{name}{k}" for k in range(60)) for name in "ABCD"}
+    near = {name: text + " more" for name, text in texts.items()}
+    rows = [(5, "A"), (3, "A"), (5, "B"), (1, "B"), (9, "C"), (9, "D"), (9, "D")]
+    docs = [(i, texts[name], "en", "a") for i, name in rows]
+    docs += [(7, near["C"], "en", "a"), (2, near["D"], "en", "a"), (8, None, "en", "a"), (8, "", "en", "a")]
+    got = corpus_pipeline.near_duplicates(spark, documents(docs), SF_DIR).collect()
+    kept = {(row["doc_id"], row["text"]) for row in got}
+    assert len(kept) == len(got)
+    assert kept == {(3, texts["A"]), (1, texts["B"]), (7, near["C"]), (2, near["D"]), (8, None), (8, "")}
 
 
 def test_near_copies_by_five_words_and_eighty_hundredths(spark, documents):
