@@ -42,26 +42,63 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of similar ones: the one with the smallest id.
 
-    Documents are similar whose sets of five-word shingles have 0.8 of their union in common. Of rows that repeat an id, the first by text (then by the other columns) stays. Rows without an
-    id are in no group and stay.
+    Documents are similar whose sets of five-word shingles have 0.8 of their union in common. Rows
+    that share an id and a text are one, of which the first by the other columns stays; rows that
+    share an id and have different texts are documents of their own, each removed only if one that
+    it is similar to stays. Rows without an id are in no group and stay. Columns may have any names.
     """
     document_batches(spark)
-    grouped = stored(similar_documents(docs, SHINGLE_WORDS, SIMILAR_PERCENT))
-    removed = grouped.where("component_id <> doc_id").select("doc_id").distinct()
-    few = removed.count() <= BROADCAST_ROWS
-    kept = docs.join(F.broadcast(removed) if few else removed, "doc_id", "left_anti")
-    ids = grouped.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("k"))
-    repeated = stored(ids.where("k > 1").select("doc_id"))
-    n = repeated.count()
-    if not n:
+    hashes = [F.xxhash64(F.lit(seed), F.col("text"), F.col("text").isNull()) for seed in (1, 2)]
+    ids = docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("k"), F.min(hashes[0]).alias("low"), F.max(hashes[0]).alias("high")
+    )
+    repeated = stored(ids.where("k > 1").select("doc_id", (F.col("low") < F.col("high")).alias("mixed")))
+    mixed = repeated.where("mixed").select("doc_id")
+    one, text_key = F.col("doc_id").cast("long"), F.xxhash64("doc_id", *hashes)
+    keyed = docs.select(one.alias("key"), "text")
+    n_mixed = mixed.count()
+    if n_mixed:
+        plain = docs.join(_side(mixed, n_mixed), "doc_id", "left_anti").select(one.alias("key"), "text")
+        others = docs.join(_side(mixed, n_mixed), "doc_id", "left_semi").select(
+            text_key.alias("key"), "text"
+        )
+        keyed = plain.unionByName(others)
+    grouped = stored(similar_documents(keyed, SHINGLE_WORDS, SIMILAR_PERCENT, "key"))
+    removed = grouped.where("component_id <> doc_id").select(F.col("doc_id").alias("key")).distinct()
+    if n_mixed:
+        # Of a group the smallest id stays, which a key made of id and text does not show.
+        names = docs.join(_side(mixed, n_mixed), "doc_id", "left_semi").select(
+            text_key.alias("key"), one.alias("id")
+        ).distinct()
+        members = grouped.select(F.col("doc_id").alias("key"), "component_id").distinct()
+        members = members.join(names, "key", "left").withColumn("id", F.coalesce("id", "key"))
+        stay = members.groupBy("component_id").agg(F.min(F.struct("id", "key")).alias("stay"))
+        removed = members.join(stay, "component_id").where("key <> stay.key").select("key")
+    removed = stored(removed)
+    gone = _side(removed, removed.count())
+    if not n_mixed:
+        kept = docs.join(gone.withColumnRenamed("key", "doc_id"), "doc_id", "left_anti")
+    else:
+        whole = docs.select(F.struct("*").alias("row"), "doc_id", "text")
+        plain = whole.join(_side(mixed, n_mixed), "doc_id", "left_anti").withColumn("key", one)
+        others = whole.join(_side(mixed, n_mixed), "doc_id", "left_semi").withColumn("key", text_key)
+        kept = plain.unionByName(others).join(gone, "key", "left_anti").select("row.*")
+    n_repeated = repeated.count()
+    if not n_repeated:
         return kept.select(docs.columns)
-    ids = F.broadcast(repeated) if n <= BROADCAST_ROWS else repeated
-    order = Window.partitionBy("doc_id").orderBy("text", *[c for c in docs.columns if c != "text"])
-    again = kept.join(ids, "doc_id", "left_semi").select(
-        F.struct(docs.columns).alias("row"), F.row_number().over(order).alias("place")
+    again = _side(repeated.select("doc_id"), n_repeated)
+    first = (
+        kept.join(again, "doc_id", "left_semi")
+        .groupBy("doc_id", *[h.alias(f"__{i}") for i, h in enumerate(hashes)])
+        .agg(F.min(F.struct(docs.columns)).alias("row"))
+        .select("row.*")
     )
-    first = again.where("place = 1").select("row.*")
-    return kept.join(ids, "doc_id", "left_anti").select(docs.columns).unionByName(first)
+    return kept.join(again, "doc_id", "left_anti").select(docs.columns).unionByName(first)
+
+
+def _side(ids: DataFrame, n_rows: int) -> DataFrame:
+    """The small side of a join: so many numbers of 8 bytes are broadcast."""
+    return F.broadcast(ids) if n_rows <= BROADCAST_ROWS else ids
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
