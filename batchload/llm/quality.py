@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from operator import eq
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -18,10 +19,11 @@ from pyspark.sql import functions as F
 
 from batchload.llm.langid import letters
 
-#: Labelled documents expected in the sample that trains, and the most characters and lines of one.
+#: Labelled documents expected in the sample that trains, and lines of them.
 TRAIN_DOCS = 8_000
-SAMPLE_CHARS = 50_000
-SAMPLE_LINES = 200
+TRAIN_LINES = 200_000
+#: Lines of one chain in training: documents of more are cut into several.
+STRETCH = 200
 STEPS = 300
 PENALTY = 1e-4
 #: Texts are measured in blocks of about so many characters.
@@ -218,9 +220,11 @@ def train(
 ) -> Chain:
     """A chain from `docs` and the labels 0 and 1 of some of them.
 
-    About TRAIN_DOCS labelled rows are in the sample, chosen by a hash of the id; documents above
-    SAMPLE_CHARS or SAMPLE_LINES are not. Null labels play no part. Without labels every line is as
-    likely good as bad.
+    About TRAIN_DOCS labelled rows are in the sample, chosen by a hash of the id, whatever the length
+    of their texts. Their lines train in stretches of STRETCH that cover the whole text; where the
+    sample has more than TRAIN_LINES lines, stretches are chosen by a hash too, so that about so
+    many lines train. Null labels play no part; rows that repeat an id or a label count as often as
+    they are there. Without labels, or on an empty table, every line is as likely good as bad.
     """
     known = labels.select(
         F.col(label_id_col).alias("id"), F.col(label_col).cast("double").alias("label")
@@ -228,33 +232,32 @@ def train(
     share = min(1.0, TRAIN_DOCS / max(1, known.count()))
     known = known.where(F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit(9)), F.lit(10**6)) < share * 1e6)
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
-    sample = texts.where(F.length("text") <= SAMPLE_CHARS).join(F.broadcast(known), "id")
+    sample = texts.join(F.broadcast(known), "id")
+    n_lines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
+    total = sample.agg(F.sum(n_lines)).first()[0] or 0
+    least = (1 - min(1.0, TRAIN_LINES / max(1, total))) * 2**32
 
     def measured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [measures(text)[0] for text in batch["text"]]
-            keep = np.array([len(row) <= SAMPLE_LINES for row in rows], bool)
-            yield pd.DataFrame(
-                {
-                    "id": batch["id"].astype(str)[keep],
-                    "label": batch["label"][keep],
-                    "rows": [row.tobytes() for row, ok in zip(rows, keep, strict=True) if ok],
-                }
-            )
-
-    held = sample.mapInPandas(measured, "id string, label double, rows binary")
-    held = held.toPandas().sort_values(["id", "label", "rows"])
+            out = []
+            for key, label, text in zip(batch["id"].astype(str), batch["label"], batch["text"]):
+                rows = with_neighbours(measures(text)[0])
+                for at in range(0, len(rows), STRETCH):
+                    if crc32(f"{key}:{at}".encode()) >= least:
+                        out.append((key, label, at, rows[at : at + STRETCH].tobytes()))
+            yield pd.DataFrame(out, columns=["id", "label", "at", "rows"])
+
+    held = sample.mapInPandas(measured, "id string, label double, at long, rows binary")
+    held = held.toPandas().sort_values(["id", "label", "at", "rows"])
     if held.empty:
         return Chain(np.zeros(WIDTH), np.zeros((2, 2)), np.zeros(WIDTH), np.ones(WIDTH))
-    chains = [
-        with_neighbours(np.frombuffer(rows, np.float32).reshape(-1, len(MEASURES)))
-        for rows in held["rows"]
-    ]
+    chains = [np.frombuffer(rows, np.float32).reshape(-1, WIDTH) for rows in held["rows"]]
     return fit(chains, held["label"].to_numpy())
 
 
 def score(text: Column, chain: Chain) -> Column:
-    """The quality of whole texts, 0 to 1; null and empty texts count as one empty line."""
+    """The quality of whole texts, 0 to 1; null and empty texts count as one empty line. Equal texts
+    have equal scores; an empty table has none."""
 
     @F.pandas_udf("double")
     def scored(texts: pd.Series) -> pd.Series:

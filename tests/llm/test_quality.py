@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pytest
+
 import itertools
 
 import numpy as np
@@ -66,3 +68,35 @@ def test_without_labels(spark, documents, odd_rows):
     chain = quality.train(documents(odd_rows), spark.createDataFrame([], "doc_id long, quality int"))
     assert chain.score("any text") == 0.5 == chain.score(None)
     assert documents([]).select(quality.score(F.col("text"), chain)).count() == 0
+
+
+def long_documents(lines):
+    """Sixty labelled documents of so many lines, half of them prose and half spam."""
+    good = "The old house stands near the river, and its garden is full of apple trees.\n"
+    bad = "BUY $$$ now!!! 100% FREE *** click >>> 555 $$$ win win win\n"
+    docs = [(k, (good if k % 2 else bad) * lines) for k in range(60)]
+    return docs, [(k, k % 2) for k in range(60)]
+
+
+@pytest.mark.parametrize("lines", [5, 250, 3000])
+def test_documents_of_any_length_train(spark, lines):
+    docs, labels = long_documents(lines)
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    chain = quality.train(table, spark.createDataFrame(labels, "doc_id long, quality int"))
+    scores = {r.doc_id: r.s for r in table.select("doc_id", quality.score(table.text, chain).alias("s")).collect()}
+    assert all(s > 0.9 if k % 2 else s < 0.1 for k, s in scores.items())
+
+
+def test_lines_are_bounded_over_whole_texts(spark, monkeypatch):
+    """Where lines are too many, stretches are chosen from all over the texts."""
+    docs, labels = long_documents(1000)
+    seen = []
+    monkeypatch.setattr(quality, "TRAIN_LINES", 12_000)
+    monkeypatch.setattr(quality, "fit", lambda chains, labels: seen.append((chains, labels)))
+    quality.train(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame(labels, "doc_id long, quality int"),
+    )
+    chains, marks = seen[0]
+    assert 6_000 < sum(map(len, chains)) < 18_000 and 0.25 < marks.mean() < 0.75
+    assert any(chain[0, -2] == 1 for chain in chains) and any(chain[0, -2] == 0 for chain in chains)
