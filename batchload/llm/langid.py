@@ -25,8 +25,8 @@ ORDER = 5
 #: sample is bounded by these, not by the size of the table.
 TRAIN_DOCS = 1_500
 CALIBRATE_DOCS = 500
-#: Longer documents are in the sample where a language has too few others.
-SAMPLE_CHARS = 20_000
+#: Characters expected in the sample of a language: of long documents fewer are in it.
+SAMPLE_CHARS = 40_000_000
 #: Texts longer than this are scored in pieces whose sums are added.
 PIECE = 500_000
 BLOCK = 1_000_000
@@ -276,35 +276,30 @@ def train(
     """An identifier from the texts and non-null languages of `docs`.
 
     TRAIN_DOCS documents per language are expected in the sample that trains, CALIBRATE_DOCS others
-    in the one that calibrates; both are chosen by a hash of the id. Documents above SAMPLE_CHARS
-    are in the sample as far as a language has fewer others than that. Every language has a
-    document that trains. n-grams are counted on the executors; the driver gets the counts of the
-    sample. Without any labelled text there are no languages.
+    in the one that calibrates, fewer where documents are so long that the sample of a language
+    would have more than SAMPLE_CHARS characters. Both are chosen by a hash of id and text, not by
+    length. Every language has a document that trains. n-grams are counted on the executors; the
+    driver gets the counts of the sample. Without any labelled text there are no languages.
     """
     labelled = docs.select(
-        F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(2**30)).alias("h"),
+        F.pmod(F.xxhash64(F.col(id_col).cast("string"), text_col), F.lit(2**30)).alias("h"),
         F.col(text_col).alias("text"),
         F.col(lang_col).alias("lang"),
-        (F.length(text_col) > SAMPLE_CHARS).alias("long"),
     ).where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    per_lang: dict[str, dict[bool, tuple[int, int]]] = {}
-    found = labelled.groupBy("lang", "long").agg(F.count("*").alias("n"), F.min("h").alias("first"))
-    for r in found.collect():
-        per_lang.setdefault(r["lang"], {})[r["long"]] = r["n"], r["first"]
+    found = labelled.groupBy("lang").agg(
+        F.count("*").alias("n"), F.sum(F.length("text")).alias("chars"), F.min("h").alias("first")
+    )
+    per_lang = {r["lang"]: r for r in found.collect()}
     if not per_lang:
         return Identifier([], [], np.zeros(0), 1.0)
     wanted = TRAIN_DOCS + CALIBRATE_DOCS
     upper, split, first = F.lit(None), F.lit(None), F.lit(None)
-    for lang, lengths in per_lang.items():
-        is_lang, room = F.col("lang") == F.lit(lang), wanted
-        first = F.when(is_lang, lengths[min(lengths)][1]).otherwise(first)
-        for long in sorted(lengths):
-            n = lengths[long][0]
-            share = min(1.0, room / n)
-            room = max(0, room - n)
-            ours = is_lang & (F.col("long") == F.lit(long))
-            upper = F.when(ours, int(share * 2**30)).otherwise(upper)
-            split = F.when(ours, int(share * 2**30 * TRAIN_DOCS / wanted)).otherwise(split)
+    for lang, r in per_lang.items():
+        ours = F.col("lang") == F.lit(lang)
+        share = min(1.0, wanted / r["n"], SAMPLE_CHARS / r["chars"])
+        first = F.when(ours, r["first"]).otherwise(first)
+        upper = F.when(ours, int(share * 2**30)).otherwise(upper)
+        split = F.when(ours, int(share * 2**30 * TRAIN_DOCS / wanted)).otherwise(split)
     is_first = F.col("h") == first
     sample = labelled.where((F.col("h") < upper) | is_first).select(
         "text", "lang", ((F.col("h") < split) | is_first).alias("trains")
@@ -358,6 +353,7 @@ def _calibrated(found: Identifier, sample: DataFrame) -> Identifier:
     rows = sample.select("text", "lang").mapInPandas(
         measure, "lang string, n long, sums array<double>"
     ).toPandas()
+    shared.destroy()
     rows = rows[(rows["n"] > 0) & rows["lang"].isin(langs)]
     if rows.empty:
         return found
