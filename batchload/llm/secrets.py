@@ -3,19 +3,22 @@
 Three fixed kinds of secret are found by pattern. Beyond them, every long run of key characters is
 scored by two first-order Markov models over characters, one of random strings and one of ordinary
 identifiers; a run becomes a span of kind `random` where its log-likelihood ratio per character is
-above a threshold, and else its stretches of 16 characters and more do where theirs is. Both models are counts of character pairs in labelled samples: values that the
-patterns find are random strings, other runs of key characters are ordinary.
+above a threshold, and else its stretches of 16 characters and more do where theirs is. Both models
+are counts of character pairs in labelled samples: values that the patterns find are random strings,
+other runs of key characters are ordinary, and so, in equal parts, are identifiers put together from
+common words in the ways that programs and paths do.
 """
 
 from __future__ import annotations
 
+import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,11 +40,33 @@ SEPARATORS = "=/_-"
 #: Ordinary identifiers for training may be shorter.
 ORDINARY = re.compile(r"[A-Za-z0-9+/_=-]{8,}")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-#: Pseudo-count of every pair of characters.
+#: Pseudo-count of every pair of characters, and of all pairs of a character among identifiers.
 SMOOTHING = 0.5
-#: So many documents at most are expected in the labelled sample, and so much of a run is read.
+IDENTIFIER_SMOOTHING = 20
+#: Words that labelled identifiers are made of; any words of the texts at hand will do.
+IDENTIFIER_WORDS = (
+    "access action adapter agent allocate api application argument article async audio author "
+    "backup base binary body border branch buffer bundle byte callback category change char "
+    "child client close code color command common config console container context convert "
+    "core create custom database debug default delete depth detail dialog directory display "
+    "domain download dynamic editor email enable engine entry environment event exception "
+    "expression factory feature field filter first float font frame function generate graph "
+    "handler header hidden home host http identifier implement index init input integer "
+    "internal iterator json key label last layout level license line list loader location log "
+    "login lower manager margin match max menu message method middle mobile mode module mouse "
+    "native next notification number offset operation order output package panel parent "
+    "partition path payload picture plugin policy popup position preview print private "
+    "product project protocol proxy query quick range read redirect refresh register remote "
+    "render report request reset response retry right root row runtime save schedule scope "
+    "screen search security select sequence service setting shape shell simple size socket "
+    "sort span split stage start static step store string style success summary switch sync "
+    "table task terminal text threshold title token total track transfer tree"
+).split()
+#: So many documents are expected in the sample that the models are fitted to.
 SAMPLE_DOCS = 20_000
-SAMPLE_RUN = 256
+#: The threshold may rise until this part of random strings of so many characters is below it.
+MISSED = 0.02
+KEY_CHARS = 20
 #: A run needs this ratio per character (nats) at least, however well the samples separate.
 LEAST_RATIO = 0.35
 
@@ -155,85 +180,137 @@ def spans_of(text: str, models: Models) -> list[tuple[int, int, int, float]]:
     return sorted(found)
 
 
+def identifiers(words: list[str]) -> list[str]:
+    """Labelled identifiers: every word with two others, in all the styles."""
+    out = []
+    for k, word in enumerate(words):
+        for style in range(12):
+            others = words[(7 * k + 3 * style + 1) % len(words)], words[(13 * k + 5 * style + 2) % len(words)]
+            out.append(_styled([word, *others], style, (31 * k + 7 * style) % 1000))
+    return out
+
+
+def _styled(low: list[str], style: int, number: int) -> str:
+    cap = [word.capitalize() for word in low]
+    return (
+        low[0] + "".join(cap[1:]),
+        "".join(cap),
+        "_".join(low),
+        "-".join(low),
+        "/" + "/".join(low),
+        "_".join(low).upper(),
+        f"{low[0]}{number}_{low[1]}_{low[2]}",
+        f"{cap[0]}{number}{cap[1]}{low[2].upper()}",
+        "/".join([low[0], *cap[1:]]),
+        low[0].upper() + "".join(cap[1:]),
+        f"{cap[0]}{cap[1]}{low[2][:3].upper()}{number % 10}",
+        "_".join(cap),
+    )[style]
+
+
+def pair_counts(runs: list[str]) -> np.ndarray:
+    """How often each character of the alphabet follows each other one."""
+    counts = np.zeros((len(ALPHABET), len(ALPHABET)))
+    for run in runs:
+        codes = _CODES[np.frombuffer(run.encode("ascii", "ignore"), np.uint8)]
+        ok = (codes[:-1] >= 0) & (codes[1:] >= 0)
+        np.add.at(counts, (codes[:-1][ok], codes[1:][ok]), 1)
+    return counts
+
+
 def labelled_runs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(random, run, n): pairs counted later; runs of a sample of the documents.
+    """(random, run): the distinct labelled runs of a sample of the documents.
 
-    The sample is chosen by a hash of the id, so that about SAMPLE_DOCS rows are expected in it at
-    any size of the table.
+    The sample is chosen by a hash of id and text, so that about SAMPLE_DOCS rows are expected in it
+    at any size of the table.
     """
     share = min(1.0, SAMPLE_DOCS / max(1, docs.count()))
-    chosen = F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1_000_000)) < share * 1e6
+    chosen = F.pmod(F.xxhash64(F.col(id_col).cast("string"), text_col), F.lit(1_000_000)) < share * 1e6
     sample = docs.where(chosen & F.col(text_col).isNotNull()).select(F.col(text_col).alias("text"))
 
     def label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            counts: Counter = Counter()
+            found = set()
             for text in batch["text"]:
                 base = base_spans(text)
                 for start, kind, end in base:
                     value = text[start:end]
-                    if kind == 0:
-                        value = ASSIGN.fullmatch(value)[2]
-                    counts[True, value[:SAMPLE_RUN]] += 1
-                for m in runs_outside(text, base, ORDINARY):
-                    counts[False, m[0][:SAMPLE_RUN]] += 1
-            yield pd.DataFrame(
-                [(random, run) for random, run in counts], columns=["random", "run"]
-            )
+                    found.add((True, ASSIGN.fullmatch(value)[2] if kind == 0 else value))
+                found.update((False, m[0]) for m in runs_outside(text, base, ORDINARY))
+            yield pd.DataFrame(list(found), columns=["random", "run"])
 
     return sample.mapInPandas(label, "random boolean, run string").distinct()
 
 
+def score_counts(docs: DataFrame, text_col: str, models: Models) -> list[tuple[int, int]]:
+    """(score, n): how many distinct long runs of all documents that no pattern finds have a best
+    stretch of each score, in tenths."""
+    texts = docs.where(F.col(text_col).isNotNull()).select(F.col(text_col).alias("text"))
+
+    def scores(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = {
+                (xxhash.xxh64_intdigest(m[0]) >> 1, math.ceil(10 * models.best(m[0])))
+                for text in batch["text"]
+                for m in runs_outside(text, base_spans(text), RUN)
+            }
+            yield pd.DataFrame(list(found), columns=["run", "score"])
+
+    each = texts.mapInPandas(scores, "run long, score long").distinct()
+    counts = each.groupBy("score").agg(F.count("*").alias("n")).collect()
+    return [(row["score"], row["n"]) for row in counts]
+
+
+def highest_threshold(ratio: np.ndarray) -> float:
+    """The threshold by which MISSED of random strings of KEY_CHARS letters and digits are missed."""
+    codes = np.random.default_rng(0).integers(0, 62, (2_000, KEY_CHARS))
+    scores = ratio[codes[:, :-1], codes[:, 1:]].mean(axis=1)
+    return float(np.quantile(scores, MISSED))
+
+
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Models:
-    """Both models from the labelled sample of `docs`.
+    """Both models from the labelled sample of `docs`, the threshold from all documents.
 
     Pairs are counted on the executors; the driver gets one count per label and pair, and one count
-    per label and score of a tenth of a nat. The threshold is the lowest score above which at most
-    one ordinary run in ten thousand lies. Without samples, both models are uniform and no run is
-    above the threshold.
+    per label and score of a tenth of a nat. The threshold is LEAST_RATIO, or the lowest score above
+    which at most one ordinary run in ten thousand lies, if that is higher: but no higher than where
+    MISSED of random strings would be missed, as what is taken for ordinary may hold secrets that no
+    pattern knows. Without labelled random strings every score is zero, and no run is above the
+    threshold.
     """
-    runs = labelled_runs(docs, id_col, text_col).persist()
+    runs = labelled_runs(docs, id_col, text_col)
 
     def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        size = len(ALPHABET)
-        counts = np.zeros((2, size * size), np.int64)
+        counts = np.zeros((2, len(ALPHABET) ** 2), np.int64)
         for batch in batches:
-            for random, run in zip(batch["random"], batch["run"], strict=True):
-                codes = _CODES[np.frombuffer(run.encode("ascii", "ignore"), np.uint8)]
-                ok = (codes[:-1] >= 0) & (codes[1:] >= 0)
-                at = codes[:-1][ok].astype(np.int64) * size + codes[1:][ok]
-                np.add.at(counts[int(random)], at, 1)
+            for label in (0, 1):
+                counts[label] += pair_counts(list(batch["run"][batch["random"] == bool(label)])).ravel().astype(np.int64)
         random, pair = np.nonzero(counts)
         yield pd.DataFrame({"random": random == 1, "pair": pair, "n": counts[random, pair]})
 
-    counts = np.full((2, len(ALPHABET) ** 2), SMOOTHING)
+    counts = np.zeros((2, len(ALPHABET) ** 2))
     summed = runs.mapInPandas(pairs, "random boolean, pair long, n long").groupBy("random", "pair")
     for row in summed.agg(F.sum("n").alias("n")).collect():
         counts[int(row["random"]), row["pair"]] += row["n"]
-    chains = counts.reshape(2, len(ALPHABET), len(ALPHABET))
-    chains = np.log(chains / chains.sum(axis=2, keepdims=True))
-    ratio = chains[1] - chains[0]
+    if not counts[1].any():
+        return Models(np.zeros((len(ALPHABET), len(ALPHABET))), LEAST_RATIO)
+    chains = counts.reshape(2, len(ALPHABET), len(ALPHABET)) + SMOOTHING
+    chains /= chains.sum(axis=2, keepdims=True)
+    made = pair_counts(identifiers(IDENTIFIER_WORDS))
+    alone = (made.sum(axis=0) + 1) / (made.sum() + len(ALPHABET))
+    made = (made + IDENTIFIER_SMOOTHING * alone) / (made.sum(axis=1, keepdims=True) + IDENTIFIER_SMOOTHING)
+    ratio = np.log(chains[1]) - np.log((chains[0] + made) / 2)
     # Words joined by separators are rare among ordinary runs: a separator is no sign of a secret.
     joins = [ALPHABET.index(c) for c in SEPARATORS]
     ratio[joins, :] = np.minimum(ratio[joins, :], 0)
     ratio[:, joins] = np.minimum(ratio[:, joins], 0)
-    models = Models(ratio, 0.0)
 
-    def scores(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            long = batch["run"][~batch["random"] & batch["run"].str.fullmatch(RUN.pattern)]
-            tenths = np.ceil([10 * models.best(run) for run in long]).astype(np.int64)
-            score, n = np.unique(tenths, return_counts=True)
-            yield pd.DataFrame({"score": score, "n": n})
-
-    tail = runs.mapInPandas(scores, "score long, n long").groupBy("score")
-    histogram = sorted(tail.agg(F.sum("n").alias("n")).collect(), reverse=True)
-    runs.unpersist()
-    allowed, threshold = sum(row["n"] for row in histogram) // 10_000, LEAST_RATIO
-    for row in histogram:
-        allowed -= row["n"]
+    found = sorted(score_counts(docs, text_col, Models(ratio, 0.0)), reverse=True)
+    allowed, threshold = sum(n for _, n in found) // 10_000, LEAST_RATIO
+    for score, n in found:
+        allowed -= n
         if allowed < 0:
-            threshold = max(threshold, row["score"] / 10)
+            threshold = max(LEAST_RATIO, min(score / 10, highest_threshold(ratio)))
             break
     return Models(ratio, threshold)
 

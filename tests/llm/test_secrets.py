@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -115,3 +117,73 @@ def test_query(spark):
     rows = QUERIES["op1_secret_scan"](spark, "/root/testdata/sf0.001").collect()
     assert len(rows) == 200
     assert all(len(r["base_sha256"]) == 64 for r in rows)
+
+
+# Identifiers of real programs, paths and headers; few of their words are among those that train.
+IDENTIFIERS = """
+    getApplicationContextFromServletRequest XMLHttpRequestEventTarget OutOfMemoryErrorHandler
+    NullPointerExceptionHandlerFactory SHA256withRSAandMGF1Padding utf8mb4_unicode_520_ci_collation
+    org_apache_hadoop_mapreduce_lib /usr/local/share/applications/foo IllegalArgumentException
+    https/www/example/com/products/index AbstractSingletonProxyFactoryBean
+    java_util_concurrent_ThreadPoolExecutor MAX_CONNECTIONS_PER_HOST_DEFAULT HTMLTableCaptionElement
+    isAuthenticatedWithOAuth2Token /var/lib/docker/containers/json-file updateUserProfilePicture
+    node_modules/react-dom/server/index content-security-policy-report-only gl_FragColor_premultiplied
+    createElementNS_with_prefix com/google/common/collect/ImmutableList pthread_mutex_timedlock_np
+    application/x-www-form-urlencoded __init_subclass_with_meta__ test_should_return_404_when_not_found
+    spark_sql_shuffle_partitions X-Forwarded-For-Original-Host kubernetes-dashboard-metrics-scraper
+    InternalFrameTitlePaneMaximizeButton EncryptedPrivateKeyInfoFactory camelCaseToSnakeCaseConverter
+    /etc/systemd/system/multi-user github/workflows/continuous-integration README_for_developers_v2
+    calculateMonthlyInterestRate user_account_last_login_timestamp DEFAULT_BUFFER_SIZE_IN_BYTES
+    base64EncodedPublicKey iso8601_datetime_formatter JSONDeserializationContext
+""".split()
+
+
+def test_identifiers_are_no_secrets(models):
+    """Both error rates: identifiers flagged, and bare keys missed."""
+    flagged = [x for x in IDENTIFIERS if secrets.spans_of(f"call {x} now", models)]
+    assert len(flagged) <= 0.05 * len(IDENTIFIERS), flagged
+    rng = np.random.default_rng(7)
+    for letters, n in (("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", 20),
+                       ("abcdefghijklmnopqrstuvwxyz0123456789", 24)):
+        keys = ["".join(rng.choice(list(letters), n)) for _ in range(500)]
+        assert np.mean([bool(secrets.spans_of(f"so {x} it", models)) for x in keys]) > 0.97
+
+
+def test_the_threshold_covers_all_documents(spark, monkeypatch):
+    """Ordinary runs beyond the sample, and beyond 256 characters, raise it; secrets do not."""
+    rng = np.random.default_rng(9)
+    letters = list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
+    keys = ["".join(rng.choice(letters, 40)) for _ in range(60)]
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    odd = [(10_000 + k, f"{'the' * 100}{keys[k][::-1]}") for k in range(50)]
+    bare = [(20_000 + k, f"here {key}") for k, key in enumerate(keys)]
+    schema = "doc_id long, text string"
+    calm = secrets.train(docs)
+    before = secrets.score_counts(docs, "text", calm)
+    found = secrets.score_counts(docs.unionByName(spark.createDataFrame(odd, schema)), "text", calm)
+    new = Counter(dict(found)) - Counter(dict(before))
+    assert sum(new.values()) == 50 and min(new) > 0
+    # Keys that no pattern knows are far more than one in ten thousand of the long runs here.
+    hidden = secrets.train(docs.unionByName(spark.createDataFrame(bare, schema)))
+    assert sum(bool(secrets.spans_of(key, hidden)) for key in keys) > 0.95 * len(keys)
+
+
+def test_null_ids_are_sampled_like_others(spark, monkeypatch):
+    monkeypatch.setattr(secrets, "SAMPLE_DOCS", 100)
+    docs = spark.range(1000).selectExpr("CAST(NULL AS long) AS doc_id", "concat('ordinarywords', id) AS text")
+    assert 40 < secrets.labelled_runs(docs, "doc_id", "text").count() < 200
+
+
+def test_query_against_a_plain_reading(spark):
+    """Every column of the query, from the definition and the operator's own spans."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    models = secrets.train(docs)
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    names = ("assign", "access", "hex")
+    for r in QUERIES["op1_secret_scan"](spark, "/root/testdata/sf0.001").collect():
+        base = [(start, kind, f"{names[kind]}:{start}:{end}") for start, kind, end in plain(texts[r["doc_id"]])]
+        assert [r["n_assign"], r["n_access"], r["n_hex"]] == [sum(k == i for _, k, _ in base) for i in range(3)]
+        text = ",".join(x for _, _, x in base)
+        assert r["base_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+        more = [f"random:{a}:{b}" for a, k, b, _ in secrets.spans_of(texts[r["doc_id"]], models) if k == 3]
+        assert [x for x in r["spans"].split(",") if x] and sorted(r["spans"].split(",")) == sorted([x for _, _, x in base] + more) or not base + more
