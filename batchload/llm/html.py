@@ -5,22 +5,34 @@ the density of stop words, the length and the share of text in links make it goo
 elements that never hold article text (menus, forms, asides and so on) make it bad. In the second
 pass an ambiguous block takes the label of the nearest decided blocks, before and behind it.
 
-Where a page marks its article, blocks outside are bad, and blocks inside are judged more mildly and
-take labels from neighbours inside only.
+Stop words are not listed but counted over all pages: words that are frequent in a language and
+script are its stop words, and a block is dense or sparse by what is usual there. Where no word is
+frequent (a script without spaces, a language of few pages), density is left out, and so it is on a
+page of which it leaves nothing.
+
+A class or id that says nothing but page furniture (`comments-area`, `ad`) makes its blocks bad; a
+furniture word beside others (`social-history`) makes them ambiguous only. Where a page marks its
+article, blocks outside are bad, and blocks inside are judged more mildly and take labels from
+neighbours inside only.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+import unicodedata
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Element and attribute names of HTML, the words that pages use to name their parts,
-# and frequent short words of four languages.
+from batchload.llm.common import stored
+
+# Element and attribute names of HTML, and the words that pages use to name their parts.
 UNSEEN = frozenset(
     "head script style template noscript iframe object svg canvas audio video map math title".split()
 )
@@ -49,30 +61,51 @@ CHROME_WORDS = frozenset(
     "comment comments disqus reply replies respond nav navbar navigation menu breadcrumb breadcrumbs "
     "footer masthead pagination pager toolbar sidenav topnav subnav".split()
 )
-CHROME_STARTS = ("advert", "breadcrumb", "comment", "cookie", "footer", "newsletter", "sidebar", "sponsor")
+# Words that say furniture whatever stands beside them, and words that say nothing of the text.
+CHROME_ALWAYS = frozenset(
+    "adsense advert advertisement advertisements advertising adverts breadcrumb breadcrumbs comment "
+    "commentlist comments disqus navbar newsletter sidebar sponsored".split()
+)
+LAYOUT_WORDS = frozenset(
+    "area article bar block body bottom box button buttons col column container content count entry feed "
+    "fixed follow form grid group header heading icon icons image inner item items js label large left "
+    "level link links list main media message messages meta mobile module outer page panel post posts "
+    "reader right row section site slot small sticky stories story text thread title top unit up us user "
+    "view wp wrap wrapper zone".split()
+)
 ABOUT_PAGE = frozenset("has with no without".split())
 PAGE_HEAD_WORDS = frozenset("header topbar".split())
 MAIN_WORDS = frozenset("article post entry story content main body".split())
-STOP_WORDS = frozenset(
-    "the of and to in is that it was for on are as with at be this by from or an have not but what "
-    "der die das und in zu den von mit ist des im für auf dem ein eine nicht auch es an als bei "
-    "le la les de des et en un une du que qui dans pour pas sur au avec par est il elle ce se "
-    "el los las del y que en un una por con para su al lo como más no es se a".split()
-)
 
 RIGHTS = re.compile(r"(©|\(c\)|copyright\b|all rights reserved)", re.IGNORECASE)
 WORDS = re.compile(r"[^\W\d_]+")
 TAG = re.compile(r"""</?([a-zA-Z][^\s/>]*)((?>[^>"']+|"[^"]*"|'[^']*')*+)>""")
 ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|([^\s"'>/=]+)""")
-NAME_PARTS = re.compile(r"[a-z]+")
+NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+LANGUAGE = re.compile(r"""<html\b[^>]*?\blang\s*=\s*["']?([A-Za-z]{2})(?![A-Za-z])""", re.IGNORECASE)
+NO_TEXT = re.compile(
+    r"<(script|style|title|noscript|textarea|nav|footer)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&#?\w+;",
+    re.IGNORECASE | re.DOTALL,
+)
+WIDE = re.compile("[\u1100-\u115f\u2e80-\ua4cf\uac00-\ud7a3\uf900-\ufaff\uff00-\uff60]")
+SENTENCE_END = re.compile(r"""[.!?…。！？।؟]["'”’»)\]]*$""")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 
 LINKED = 0.5  # share of a block's characters in links from which it is bad
 FEW_LINKS = 0.2  # share up to which it can be good
-DENSE, SPARSE = 0.25, 0.12  # share of stop words: good from, bad below
-SHORT, LONG = 70, 200  # characters: ambiguous below, good by density alone from
+# Density of stop words, as a share of what is usual in the language: good from, bad below.
+DENSE, SPARSE = 0.6, 0.3
+SHORT, LONG = 70, 200  # characters, wide ones as two: ambiguous below, good without density from
 MILD_SHORT = 25
 
+FREQUENT = 1 / 300  # share of a group's words that makes a word a stop word
+PRIOR_WORDS = 2_000  # words of no kind added to every group, so that few pages give few stop words
+USUAL = 0.1  # share of stop words in a group below which density says nothing
+GROUPS = 2_000  # groups with stop words of their own, the largest ones
+
+#: Stop words of a group, and their share of its words. Groups: "en LATIN", and "LATIN" over all pages.
+Stops = dict[str, tuple[frozenset[str], float]]
+
 GOOD, BAD, UNSURE = 1, 0, None
 
 
@@ -83,6 +116,7 @@ class Element:
     unseen: bool  # holds no text at all
     main: int  # 2 in an article element, 1 in one that is named so, 0 elsewhere
     link: bool
+    hint: bool = False  # a furniture word is in a name, beside other words
 
 
 @dataclass
@@ -92,13 +126,21 @@ class Block:
     heading: bool
     parts: list[str] = field(default_factory=list)
     linked: int = 0
+    hint: bool = False
 
     def text(self) -> str:
         return " ".join("".join(self.parts).split())
 
 
-def names_chrome(part: str) -> bool:
-    return part in CHROME_WORDS or part.startswith(CHROME_STARTS)
+def names_chrome(parts: list[str]) -> bool:
+    """Whether a name says page furniture and nothing else."""
+    if any(part in CHROME_ALWAYS for part in parts):
+        return True
+    return hints_chrome(parts) and all(part in CHROME_WORDS or part in LAYOUT_WORDS for part in parts)
+
+
+def hints_chrome(parts: list[str]) -> bool:
+    return any(part in CHROME_WORDS for part in parts)
 
 
 def attributes(source: str) -> dict[str, str]:
@@ -111,10 +153,11 @@ def attributes(source: str) -> dict[str, str]:
 def opened(tag: str, source: str, parent: Element) -> Element:
     """What an element means for the text within."""
     found = attributes(source) if source and not source.isspace() else {}
-    names = f"{found.get('class', '')} {found.get('id', '')}".lower().split()
-    names = [NAME_PARTS.findall(name) for name in names]
+    names = f"{found.get('class', '')} {found.get('id', '')}".split()
+    names = [[part.lower() for part in NAME_PARTS.findall(name)] for name in names]
     names = [parts for parts in names if parts and parts[0] not in ABOUT_PAGE]
-    shows_chrome = any(names_chrome(part) for parts in names for part in parts)
+    shows_chrome = any(names_chrome(parts) for parts in names)
+    hint = parent.hint
     shows_main = any(part in MAIN_WORDS for parts in names for part in parts)
     shows_head = any(part in PAGE_HEAD_WORDS for parts in names for part in parts)
     role = found.get("role", "").lower()
@@ -124,6 +167,7 @@ def opened(tag: str, source: str, parent: Element) -> Element:
     main = parent.main
     if tag not in ("html", "body", "main"):
         chrome = chrome or shows_chrome
+        hint = hint or any(hints_chrome(parts) for parts in names)
         if not main and (tag == "header" or shows_head and not shows_main):
             chrome = True
     if not chrome:
@@ -134,7 +178,7 @@ def opened(tag: str, source: str, parent: Element) -> Element:
             or found.get("itemprop") == "articleBody"
         ):
             main = 1
-    return Element(tag, chrome, unseen, main, parent.link or tag == "a")
+    return Element(tag, chrome, unseen, main, parent.link or tag == "a", hint)
 
 
 def blocks(page: str) -> list[Block]:
@@ -152,7 +196,7 @@ def blocks(page: str) -> list[Block]:
         if block is None:
             if text.isspace():
                 return
-            block = Block(top.chrome, top.main, any(e.tag in HEADINGS for e in stack))
+            block = Block(top.chrome, top.main, any(e.tag in HEADINGS for e in stack), hint=top.hint)
             found.append(block)
         block.parts.append(text)
         if top.link:
@@ -223,27 +267,80 @@ def blocks(page: str) -> list[Block]:
     return found
 
 
-def stop_density(text: str) -> float:
+@lru_cache(100_000)
+def script(letter: str) -> str:
+    """The script of a letter, by the first word of its name: LATIN, CYRILLIC, CJK."""
+    return unicodedata.name(letter, "UNKNOWN").partition(" ")[0]
+
+
+def language(page: str) -> str:
+    """The two letters of the language that a page says it is in; empty if it does not."""
+    said = LANGUAGE.search(page)
+    return said[1].lower() if said else ""
+
+
+def density(text: str, said: str, stops: Stops) -> float | None:
+    """The share of stop words in a text over the usual one of its script; None if there is none.
+
+    The script goes by the most words. The language that the page names counts where that is higher:
+    pages name wrong ones.
+    """
     words = WORDS.findall(text.lower())
-    return sum(word in STOP_WORDS for word in words) / len(words) if words else 0.0
+    if not words:
+        return None
+    written = Counter(script(word[0]) for word in words).most_common(1)[0][0]
+    shares = [
+        sum(word in stops[group][0] for word in words) / len(words) / stops[group][1]
+        for group in (f"{said} {written}", written)
+        if group in stops
+    ]
+    return max(shares, default=None)
+
 
+def size(text: str) -> int:
+    return len(text) + len(WIDE.findall(text))
 
-def first_pass(block: Block, text: str, main: int):
-    """GOOD, BAD or UNSURE for one block by itself."""
+
+def link_share(block: Block) -> float:
+    return min(1.0, block.linked / max(1, len("".join(block.parts).strip())))
+
+
+def first_pass(block: Block, text: str, main: int, dense: float | None):
+    """GOOD, BAD or UNSURE for one block by itself; `dense` is its density, None if that says nothing."""
     if block.chrome or block.main < main:
         return BAD
-    links = min(1.0, block.linked / max(1, len("".join(block.parts).strip())))
+    links, n = link_share(block), size(text)
     if links > LINKED:
-        return UNSURE if main and not links > 0.9 else BAD
+        return UNSURE if main and not block.hint and not links > 0.9 else BAD
+    if block.hint:
+        if n < MILD_SHORT and not block.heading and not SENTENCE_END.search(text):
+            return BAD
+        full = n >= LONG and links <= FEW_LINKS and (dense is None or dense >= DENSE)
+        return GOOD if full else UNSURE
     if main:
-        long_enough = len(text) >= MILD_SHORT or block.heading
-        return GOOD if long_enough and links <= FEW_LINKS or len(text) >= LONG else UNSURE
-    if len(text) < SHORT:
+        if n >= LONG:
+            return GOOD
+        long_enough = n >= MILD_SHORT or block.heading
+        sparse = dense is not None and dense < SPARSE
+        return GOOD if long_enough and links <= FEW_LINKS and not sparse else UNSURE
+    if n < SHORT:
         return BAD if RIGHTS.match(text) else UNSURE
-    density = stop_density(text)
-    if density < SPARSE:
+    if dense is None:
+        return GOOD if n >= LONG and links <= FEW_LINKS else UNSURE
+    if dense < SPARSE:
+        return BAD if n < LONG or links > FEW_LINKS else UNSURE
+    return GOOD if links <= FEW_LINKS and (dense >= DENSE or n >= LONG) else UNSURE
+
+
+def without_density(block: Block, text: str):
+    """The label of a block outside any article, on a page that has no good block by density."""
+    if block.chrome or link_share(block) > LINKED:
         return BAD
-    return GOOD if links <= FEW_LINKS and (density >= DENSE or len(text) >= LONG) else UNSURE
+    n = size(text)
+    full = n >= SHORT or n >= MILD_SHORT and SENTENCE_END.search(text)
+    if full and link_share(block) <= FEW_LINKS and not block.hint:
+        return GOOD
+    return BAD if RIGHTS.match(text) else UNSURE
 
 
 def second_pass(labels: list, chrome: list[bool], headings: list[bool], otherwise) -> list:
@@ -279,22 +376,93 @@ def second_pass(labels: list, chrome: list[bool], headings: list[bool], otherwis
     return out
 
 
-def main_text(page: str | None) -> str:
-    """The main text of a page: its good blocks in order, joined by a space; empty if none."""
-    found = [(block, text) for block in blocks(page or "") if (text := block.text())]
+def main_text(page: str | None, stops: Stops | None = None) -> str:
+    """The main text of a page: its good blocks in order, joined by a space; empty if none.
+
+    Without `stops` density is left out.
+    """
+    page = page or ""
+    found = [(block, text) for block in blocks(page) if (text := block.text())]
     main = max((block.main for block, _ in found if not block.chrome), default=0)
-    labels = [first_pass(block, text, main) for block, text in found]
+    said = language(page) if stops else ""
+    labels = [
+        first_pass(block, text, main, density(text, said, stops) if stops else None)
+        for block, text in found
+    ]
+    if not main and GOOD not in labels:
+        labels = [without_density(block, text) for block, text in found]
     outside = [block.chrome or block.main < main for block, _ in found]
     headings = [block.heading for block, _ in found]
     labels = second_pass(labels, outside, headings, GOOD if main else BAD)
     return " ".join(text for (_, text), label in zip(found, labels, strict=True) if label == GOOD)
 
 
-def extract(page: Column) -> Column:
-    """The main text of a column of pages. Whole pages are read; null and empty pages give ''."""
+def _word_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(group, word, n) for every batch of pages, and (group, null, n) for all words of a group."""
+    for batch in batches:
+        counts: Counter = Counter()
+        for page in batch["page"]:
+            if not page:
+                continue
+            said = language(page)
+            for word, n in Counter(WORDS.findall(NO_TEXT.sub(" ", page).lower())).items():
+                written = script(word[0])
+                groups = (written, f"{said} {written}") if said else (written,)
+                for group in groups:
+                    counts[group, word] += n
+                    counts[group, None] += n
+        yield pd.DataFrame(
+            {
+                "group": pd.Series([group for group, _ in counts], dtype=object),
+                "word": pd.Series([word for _, word in counts], dtype=object),
+                "n": pd.Series(list(counts.values()), dtype="int64"),
+            }
+        )
+
+
+def stop_words(pages: DataFrame, page: str) -> Stops:
+    """The stop words of every language and script of a table, with their share, from all its pages.
+
+    Words are counted in the tasks and added up by a grouped aggregate. What reaches the driver is at
+    most 1 / FREQUENT words for each of GROUPS groups: some 12 MB. Null and empty pages count nothing,
+    repeated pages count each time, an empty table gives no stop words; other columns are not read.
+    """
+    counts = (
+        pages.select(F.col(page).alias("page"))
+        .mapInPandas(_word_counts, "group string, word string, n long")
+        .groupBy("group", "word")
+        .agg(F.sum("n").alias("n"))
+    )
+    counts = stored(counts)
+    totals = counts.where("word IS NULL").select("group", (F.col("n") + PRIOR_WORDS).alias("total"))
+    largest = totals.orderBy(F.desc("total"), "group").limit(GROUPS)
+    frequent = (
+        counts.where("word IS NOT NULL")
+        .join(F.broadcast(largest), "group")
+        .where(F.col("n") >= F.col("total") * FREQUENT)
+        .select("group", "word", (F.col("n") / F.col("total")).alias("share"))
+    )
+    stops: dict[str, tuple[set, list]] = {}
+    for row in frequent.orderBy("group", "word").collect():
+        words, shares = stops.setdefault(row["group"], (set(), []))
+        words.add(row["word"])
+        shares.append(row["share"])
+    return {
+        group: (frozenset(words), sum(shares))
+        for group, (words, shares) in stops.items()
+        if sum(shares) >= USUAL
+    }
+
+
+def extract(page: Column, stops: Stops | None = None) -> Column:
+    """The main text of a column of pages, by the stop words of the table (see `stop_words`).
+
+    Whole pages are read. Null and empty pages give ''; every row is judged by itself, so repeated
+    rows give the same text, and an empty table gives an empty column.
+    """
 
     @F.pandas_udf("string")
     def extracted(pages: pd.Series) -> pd.Series:
-        return pd.Series([main_text(page) for page in pages], dtype=object)
+        return pd.Series([main_text(page, stops) for page in pages], dtype=object)
 
     return extracted(page)

@@ -149,9 +149,10 @@ def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The main text of every page."""
+    """The main text of every page, by the stop words of all pages."""
     pages = table(spark, sf_dir, "pages")
-    texts = pages.select("page_id", "url", html.extract(F.col("html")).alias("text"))
+    stops = html.stop_words(pages, "html")
+    texts = pages.select("page_id", "url", html.extract(F.col("html"), stops).alias("text"))
     return texts.withColumn("n_chars", F.length("text").cast("long"))
 
 
