@@ -22,9 +22,10 @@ import html as entities
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
+from operator import itemgetter
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -101,6 +102,7 @@ MILD_SHORT = 25
 FREQUENT = 1 / 300  # share of a group's words that makes a word a stop word
 PRIOR_WORDS = 2_000  # words of no kind added to every group, so that few pages give few stop words
 USUAL = 0.1  # share of stop words in a group below which density says nothing
+COUNTED = 500_000  # counts that a task holds at most, but for those of one batch
 GROUPS = 2_000  # groups with stop words of their own, the largest ones
 
 #: Stop words of a group, and their share of its words. Groups: "en LATIN", and "LATIN" over all pages.
@@ -288,9 +290,12 @@ def density(text: str, said: str, stops: Stops) -> float | None:
     words = WORDS.findall(text.lower())
     if not words:
         return None
-    written = Counter(script(word[0]) for word in words).most_common(1)[0][0]
+    scripts: Counter = Counter()
+    for letter, n in Counter(map(itemgetter(0), words)).items():
+        scripts[script(letter)] += n
+    written = scripts.most_common(1)[0][0]
     shares = [
-        sum(word in stops[group][0] for word in words) / len(words) / stops[group][1]
+        sum(map(stops[group][0].__contains__, words)) / len(words) / stops[group][1]
         for group in (f"{said} {written}", written)
         if group in stops
     ]
@@ -298,15 +303,15 @@ def density(text: str, said: str, stops: Stops) -> float | None:
 
 
 def size(text: str) -> int:
-    return len(text) + len(WIDE.findall(text))
+    return len(text) if text.isascii() else len(text) + len(WIDE.findall(text))
 
 
 def link_share(block: Block) -> float:
     return min(1.0, block.linked / max(1, len("".join(block.parts).strip())))
 
 
-def first_pass(block: Block, text: str, main: int, dense: float | None):
-    """GOOD, BAD or UNSURE for one block by itself; `dense` is its density, None if that says nothing."""
+def first_pass(block: Block, text: str, main: int, dense_of: Callable[[str], float | None]):
+    """GOOD, BAD or UNSURE for one block by itself; `dense_of` gives a density, None if it says nothing."""
     if block.chrome or block.main < main:
         return BAD
     links, n = link_share(block), size(text)
@@ -315,16 +320,20 @@ def first_pass(block: Block, text: str, main: int, dense: float | None):
     if block.hint:
         if n < MILD_SHORT and not block.heading and not SENTENCE_END.search(text):
             return BAD
-        full = n >= LONG and links <= FEW_LINKS and (dense is None or dense >= DENSE)
-        return GOOD if full else UNSURE
+        if n < LONG or links > FEW_LINKS:
+            return UNSURE
+        dense = dense_of(text)
+        return GOOD if dense is None or dense >= DENSE else UNSURE
     if main:
         if n >= LONG:
             return GOOD
-        long_enough = n >= MILD_SHORT or block.heading
-        sparse = dense is not None and dense < SPARSE
-        return GOOD if long_enough and links <= FEW_LINKS and not sparse else UNSURE
+        if n < MILD_SHORT and not block.heading or links > FEW_LINKS:
+            return UNSURE
+        dense = dense_of(text)
+        return UNSURE if dense is not None and dense < SPARSE else GOOD
     if n < SHORT:
         return BAD if RIGHTS.match(text) else UNSURE
+    dense = dense_of(text)
     if dense is None:
         return GOOD if n >= LONG and links <= FEW_LINKS else UNSURE
     if dense < SPARSE:
@@ -385,10 +394,11 @@ def main_text(page: str | None, stops: Stops | None = None) -> str:
     found = [(block, text) for block in blocks(page) if (text := block.text())]
     main = max((block.main for block, _ in found if not block.chrome), default=0)
     said = language(page) if stops else ""
-    labels = [
-        first_pass(block, text, main, density(text, said, stops) if stops else None)
-        for block, text in found
-    ]
+
+    def dense_of(text: str) -> float | None:
+        return density(text, said, stops) if stops else None
+
+    labels = [first_pass(block, text, main, dense_of) for block, text in found]
     if not main and GOOD not in labels:
         labels = [without_density(block, text) for block, text in found]
     outside = [block.chrome or block.main < main for block, _ in found]
@@ -398,27 +408,33 @@ def main_text(page: str | None, stops: Stops | None = None) -> str:
 
 
 def _word_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(group, word, n) for every batch of pages, and (group, null, n) for all words of a group."""
-    for batch in batches:
-        counts: Counter = Counter()
-        for page in batch["page"]:
-            if not page:
-                continue
-            said = language(page)
-            for word, n in Counter(WORDS.findall(NO_TEXT.sub(" ", page).lower())).items():
-                written = script(word[0])
-                groups = (written, f"{said} {written}") if said else (written,)
-                for group in groups:
-                    counts[group, word] += n
-                    counts[group, None] += n
-        yield pd.DataFrame(
+    """(said, script, word, n): how often a word is on pages that say a language.
+
+    A task adds up its pages and sends its counts on whenever it has COUNTED of them.
+    """
+    counts: dict[str, Counter] = {}
+
+    def out() -> pd.DataFrame:
+        rows = [(said, word, n) for said, found in counts.items() for word, n in found.items()]
+        counts.clear()
+        return pd.DataFrame(
             {
-                "group": pd.Series([group for group, _ in counts], dtype=object),
-                "word": pd.Series([word for _, word in counts], dtype=object),
-                "n": pd.Series(list(counts.values()), dtype="int64"),
+                "said": pd.Series([said for said, _, _ in rows], dtype=object),
+                "script": pd.Series([script(word[0]) for _, word, _ in rows], dtype=object),
+                "word": pd.Series([word for _, word, _ in rows], dtype=object),
+                "n": pd.Series([n for _, _, n in rows], dtype="int64"),
             }
         )
 
+    for batch in batches:
+        for page in batch["page"]:
+            if page:
+                found = counts.setdefault(language(page), Counter())
+                found.update(WORDS.findall(NO_TEXT.sub(" ", page).lower()))
+        if sum(map(len, counts.values())) >= COUNTED:
+            yield out()
+    yield out()
+
 
 def stop_words(pages: DataFrame, page: str) -> Stops:
     """The stop words of every language and script of a table, with their share, from all its pages.
@@ -427,17 +443,29 @@ def stop_words(pages: DataFrame, page: str) -> Stops:
     most 1 / FREQUENT words for each of GROUPS groups: some 12 MB. Null and empty pages count nothing,
     repeated pages count each time, an empty table gives no stop words; other columns are not read.
     """
-    counts = (
+    counts = stored(
         pages.select(F.col(page).alias("page"))
-        .mapInPandas(_word_counts, "group string, word string, n long")
-        .groupBy("group", "word")
+        .mapInPandas(_word_counts, "said string, script string, word string, n long")
+        .groupBy("said", "script", "word")
         .agg(F.sum("n").alias("n"))
     )
-    counts = stored(counts)
-    totals = counts.where("word IS NULL").select("group", (F.col("n") + PRIOR_WORDS).alias("total"))
+    # Words on pages that say a language count for it and for their script.
+    of_script = F.col("script").alias("group")
+    of_both = F.concat_ws(" ", "said", "script").alias("group")
+    sums = counts.groupBy("said", "script").agg(F.sum("n").alias("n"))
+    totals = sums.select(of_script, "n").unionAll(sums.where("said <> ''").select(of_both, "n"))
+    totals = totals.groupBy("group").agg((F.sum("n") + PRIOR_WORDS).alias("total"))
     largest = totals.orderBy(F.desc("total"), "group").limit(GROUPS)
+    # A word that is frequent in a script is so in one of the languages of its pages at least.
+    least = sums.select("said", "script", (F.col("n") * FREQUENT).alias("least"))
+    # Pairs of two letters and a script are few.
+    likely = counts.join(F.broadcast(least), ["said", "script"]).where("n >= least")
+    likely = likely.select("script", "word").distinct()
+    frequent = counts.join(likely, ["script", "word"]).select("said", "script", "word", "n")
     frequent = (
-        counts.where("word IS NOT NULL")
+        frequent.select(of_script, "word", "n")
+        .unionAll(frequent.where("said <> ''").select(of_both, "word", "n"))
+        .groupBy("group", "word").agg(F.sum("n").alias("n"))
         .join(F.broadcast(largest), "group")
         .where(F.col("n") >= F.col("total") * FREQUENT)
         .select("group", "word", (F.col("n") / F.col("total")).alias("share"))
