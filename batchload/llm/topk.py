@@ -5,6 +5,10 @@ block into bitmaps, one per binary digit, with one bit per row. The scores of al
 from bitmap arithmetic alone: a query's weights say which slices are added at which binary place, and
 full adders over whole bitmaps reduce every place to one slice. The top rows are selected from the
 most significant slice of the sum downward; rows tied at the boundary are resolved by their id.
+
+A block of the index stays in its task while blocks of queries stream past it. Where queries are so
+many that this takes too long, or blocks so few that cores would idle, a block is sent to several
+lanes, each with a part of the queries.
 """
 
 from __future__ import annotations
@@ -23,6 +27,11 @@ from batchload.llm.common import stored
 BLOCK_CELLS = 1 << 22
 #: A block of queries has so many.
 QUERY_CELLS = 1 << 15
+#: Blocks of queries that one copy of a block of the index meets: at 64 a row 131,072 queries.
+LANE_BLOCKS = 256
+#: Copies of blocks with their queries wanted for every core, and tasks at most.
+CELLS_A_CORE = 4
+MOST_TASKS = 50_000
 
 PACKED = "dims int, part int, ids binary, data binary"
 
@@ -148,6 +157,15 @@ def _padded(bits: np.ndarray) -> np.ndarray:
     return out
 
 
+def narrowed(values: np.ndarray) -> np.ndarray:
+    """Whole numbers in the narrowest signed type that holds them."""
+    low, high = int(values.min(initial=0)), int(values.max(initial=0))
+    for kind in (np.int8, np.int16, np.int32):
+        if np.iinfo(kind).min <= low and high <= np.iinfo(kind).max:
+            return values.astype(kind)
+    return values
+
+
 def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: float) -> DataFrame:
     """(id, vector, dims): vectors of longs; rows that take no part are left out."""
     vector = F.col(vector_col)
@@ -164,7 +182,7 @@ def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: float) ->
 def _packed(rows: DataFrame, cells: int, sliced: bool) -> DataFrame:
     """Blocks of rows of one length as (dims, part, ids, data), dealt by a hash of the id.
 
-    data is a matrix of longs, or the slices of the block.
+    data is a matrix of whole numbers, as narrow as they allow, or the slices of the block.
     """
     sizes = rows.groupBy("dims").agg(F.count("*").alias("n")).collect()
     parts = F.lit(1)
@@ -176,7 +194,7 @@ def _packed(rows: DataFrame, cells: int, sliced: bool) -> DataFrame:
     def pack(batch: pa.Table) -> pa.Table:
         ids = batch.column("id").to_numpy().astype(np.int64)
         values = batch.column("vector").combine_chunks().flatten().to_numpy().astype(np.int64)
-        data = values.tobytes()
+        data = narrowed(values).tobytes()
         if sliced:
             ids, data = Slices.of(ids, values.reshape(len(ids), -1)).written()
         else:
@@ -194,6 +212,33 @@ def _packed(rows: DataFrame, cells: int, sliced: bool) -> DataFrame:
     return dealt.groupBy("dims", "part").applyInArrow(pack, PACKED)
 
 
+def _met(index: DataFrame, asked: DataFrame) -> tuple[DataFrame, int]:
+    """(rows, tasks): per length of vectors, part and lane a block of the index and its queries.
+
+    Queries are sent once for every part of the index, the index once for every lane.
+    """
+    parts = index.groupBy("dims").agg((F.max("part") + 1).alias("parts"))
+    shape = parts.join(asked.groupBy("dims").agg(F.count("*").alias("blocks")), "dims").collect()
+    cores = index.sparkSession.sparkContext.defaultParallelism
+    lanes, sides, cells = F.lit(0), F.lit(0), 0
+    for row in shape:  # one row per length of vectors
+        wanted = max(row["blocks"] / LANE_BLOCKS, cores * CELLS_A_CORE / row["parts"])
+        n = max(1, min(row["blocks"], math.ceil(wanted)))
+        cells += n * row["parts"]
+        lanes = F.when(F.col("dims") == row["dims"], n).otherwise(lanes)
+        sides = F.when(F.col("dims") == row["dims"], row["parts"]).otherwise(sides)
+    # Lengths of one side only have no lanes.
+    blocks = index.where(lanes > 0).select(
+        "dims", "part", F.explode(F.sequence(F.lit(0), lanes - 1)).alias("lane"),
+        F.lit(False).alias("asks"), "ids", "data",
+    )
+    queries = asked.where(lanes > 0).select(
+        "dims", F.explode(F.sequence(F.lit(0), sides - 1)).alias("part"),
+        F.pmod("part", lanes).alias("lane"), F.lit(True).alias("asks"), "ids", "data",
+    )
+    return blocks.unionByName(queries), max(1, min(2 * cells, MOST_TASKS))
+
+
 def top_k(
     vectors: DataFrame,
     queries: DataFrame,
@@ -215,22 +260,24 @@ def top_k(
         quantised(queries, id_col, vector_col, scale).where("dims > 0").distinct(), QUERY_CELLS,
         False,
     )
-    # Every block of the index meets every block of queries of its length. Both are written once;
-    # their numbers are small, and each block is sent once for every block of the other side.
     index, asked = stored(index), stored(asked)
-    asked = asked.withColumnsRenamed({"part": "q", "ids": "q_ids", "data": "q_data"})
-    pairs = (
-        index.join(asked.select("dims", "q"), "dims")
-        .join(asked.join(index.select("dims", "part"), "dims"), ["dims", "part", "q"])
-        .select("dims", "ids", "data", "q_ids", "q_data")
-    )
+    met, tasks = _met(index, asked)
+    met = met.repartition(tasks, "dims", "part", "lane")
+    met = met.sortWithinPartitions("dims", "part", "lane", "asks")
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, block = None, None
         for batch in batches:
             for row in batch.to_pylist():
-                block = Slices.read(row["ids"], row["data"], row["dims"])
-                query_ids = np.frombuffer(row["q_ids"], np.int64)
-                weights = np.frombuffer(row["q_data"], np.int64).reshape(len(query_ids), -1)
+                place = row["dims"], row["part"], row["lane"]
+                if not row["asks"]:
+                    at, block = place, Slices.read(row["ids"], row["data"], row["dims"])
+                    continue
+                if at != place:  # a part that no row of the index fell into
+                    continue
+                query_ids = np.frombuffer(row["ids"], np.int64)
+                width = len(row["data"]) // (len(query_ids) * row["dims"])
+                weights = np.frombuffer(row["data"], f"i{width}").reshape(len(query_ids), -1)
                 found = [
                     (query, *block.top(weight.tolist(), k, query))
                     for query, weight in zip(query_ids.tolist(), weights, strict=True)
@@ -246,7 +293,7 @@ def top_k(
                     ),
                 )
 
-    scored = pairs.mapInArrow(best, "query_id long, vec_id long, score long")
+    scored = met.mapInArrow(best, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -6,11 +6,13 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from batchload.llm import topk
 from batchload.llm.queries import ORACLES, QUERIES
-from batchload.llm.topk import Slices, top_k
+from batchload.llm.topk import Slices, narrowed, top_k
 
 
 @settings(max_examples=60, deadline=None)
@@ -65,3 +67,28 @@ def test_oracle(spark):
     expected = c.execute(ORACLES["op2_top_k"])
     names = [d[0] for d in expected.description]
     assert Counter(map(tuple, got.select(names).collect())) == Counter(expected.fetchall())
+
+
+def test_many_blocks_and_lanes(spark, monkeypatch):
+    """Blocks of a few rows, several lanes, lengths that only one side has, wide and narrow numbers."""
+    monkeypatch.setattr(topk, "BLOCK_CELLS", 64)
+    monkeypatch.setattr(topk, "QUERY_CELLS", 16)
+    monkeypatch.setattr(topk, "LANE_BLOCKS", 2)
+    rng = np.random.default_rng(5)
+    rows = [(i, (rng.normal(size=4) * (1 if i % 3 else 10_000)).tolist(), "x", "x", "x") for i in range(150)]
+    rows += [(1000 + i, [1.0, 2.0, 3.0, 4.0, 5.0], "x", "x", "x") for i in range(3)]
+    asked = _vectors(spark, rows[::5][:30] + [(9, [1.0] * 7, "x", "x", "x")])
+    got = {}
+    for r in top_k(_vectors(spark, rows), asked, 7).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    whole = {i: np.floor(np.float32(v).astype(float) * 64).astype(int) for i, v, *_ in rows if len(v) == 4}
+    assert got == {
+        q: sorted(((i, int(v @ whole[q])) for i, v in whole.items() if i != q), key=lambda x: (-x[1], x[0]))[:7]
+        for q in list(whole)[::5]
+    }
+
+
+@pytest.mark.parametrize("values,size", [([], 1), ([-128, 127], 1), ([128], 2), ([-(2**31)], 4), ([2**31], 8)])
+def test_narrowed(values, size):
+    values = np.array(values, np.int64)
+    assert narrowed(values).itemsize == size and narrowed(values).tolist() == values.tolist()
