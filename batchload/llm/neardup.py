@@ -6,9 +6,10 @@ of both distances (multi-sequence order). How many cells it visits follows from
 pairs that are just similar enough: it is measured on a sample with partners made at exactly the
 threshold. Every pair that meets in a cell is verified by its cosine in double precision.
 
-Equal vectors are one row of the index with a count. Cells are cut into blocks, blocks are compared
-with blocks by matrix products, and a block pair gives one count per vector and a spanning forest of
-its links, never the links themselves.
+Equal vectors are one row of the index with a count. Cells are cut into blocks; a block stays in its
+task while blocks of the vectors that visit its cells stream past it and are compared by matrix
+products. Two blocks give one count per vector and a spanning forest of their links, never the links
+themselves. Vectors of floats are sent as floats and made unit vectors of doubles where they arrive.
 """
 
 from __future__ import annotations
@@ -21,8 +22,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
-from batchload.llm.common import components, stored
+from batchload.llm.common import components, small_batches, stored
 
 #: Vectors expected in the sample that fits the codebooks, whatever the size of the table.
 SAMPLE = 20_000
@@ -35,6 +37,9 @@ PROBES = 4_000
 #: Rows of a block, and rows compared at once.
 BLOCK_ROWS = 4096
 SLICE = 512
+#: Blocks of visiting vectors that one copy of a block meets, and blocks that Python gets at once.
+LANE_BLOCKS = 16
+BLOCKS_AT_ONCE = 16
 
 
 def codebook(half: np.ndarray, words: int, rng: np.random.Generator) -> np.ndarray:
@@ -139,9 +144,11 @@ def near_duplicates(
     nothing: n_links 0, component_id their own id, kept true. Repeated rows are rows of their own.
     Other columns play no part; an empty table gives no rows.
     """
+    floats = isinstance(getattr(vectors.schema[vector_col].dataType, "elementType", None), FloatType)
+    number = "float" if floats else "double"
     rows = vectors.select(
         F.col(id_col).cast("long").alias("vec_id"),
-        F.col(vector_col).cast("array<double>").alias("vector"),
+        F.col(vector_col).cast(f"array<{number}>").alias("vector"),
         F.col(label_col).alias("label"),
     ).withColumn("ok", _valid("vec_id", "vector", "label"))
     keys = [F.xxhash64("label", "vector").alias("k1"), F.xxhash64("vector", F.lit(1), "label").alias("k2")]
@@ -156,7 +163,7 @@ def near_duplicates(
     counts, edges = None, None
     for (dims,) in sorted(distinct.select(F.size("vector")).distinct().collect()):
         some = distinct.where(F.size("vector") == dims)
-        linked = stored(_links(some, dims, threshold, recall))
+        linked = _links(some, dims, number, threshold, recall)
         one = linked.where("n_links IS NOT NULL").groupBy("id").agg(F.sum("n_links").alias("others"))
         two = linked.where("b IS NOT NULL").select(F.col("id").alias("a"), "b")
         counts = one if counts is None else counts.unionByName(one)
@@ -189,8 +196,14 @@ def near_duplicates(
     )
 
 
-def _links(distinct: DataFrame, dims: int, threshold: float, recall: float) -> DataFrame:
-    """(id, n_links, b): shares of the number of links of vectors, and edges from id to b."""
+def _links(
+    distinct: DataFrame, dims: int, number: str, threshold: float, recall: float
+) -> DataFrame:
+    """(id, n_links, b): shares of the number of links of vectors, and edges from id to b.
+
+    `number` is the type of the components, float or double.
+    """
+    kind = np.dtype(np.float32 if number == "float" else np.float64)
     sizes = distinct.groupBy("label").count().agg(F.max("count"), F.sum("count")).first()
     words = math.ceil(math.sqrt(sizes[0] / CELL_ROWS))
     words = min(max(words, CODEWORDS[0]), CODEWORDS[1])
@@ -204,12 +217,12 @@ def _links(distinct: DataFrame, dims: int, threshold: float, recall: float) -> D
     shared = spark.sparkContext.broadcast(grid)
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        width = 8 * dims
+        width = kind.itemsize * dims
         for batch in batches:
             if not batch.num_rows:
                 continue
-            data = units(batch.column("vector").flatten().to_numpy().reshape(-1, dims))
-            cells = shared.value.ranked(data, shared.value.visits)
+            data = batch.column("vector").flatten().to_numpy().reshape(-1, dims)
+            cells = shared.value.ranked(units(data), shared.value.visits)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id"),
@@ -234,27 +247,49 @@ def _links(distinct: DataFrame, dims: int, threshold: float, recall: float) -> D
     words_of = per_word.withColumn(
         "bucket", F.floor(F.coalesce(F.sum("rows").over(before), F.lit(0)) / BLOCK_ROWS).cast("int")
     )
-    words_of = stored(words_of.select("label", "i", "bucket", "rows"))
-    held = rows.join(words_of.drop("rows"), ["label", "i"]).drop("visited")
-    visiting = (
-        rows.select("id", "label", "n", "data", "cells", F.explode(F.array_distinct("visited")).alias("i"))
-        .join(words_of.drop("rows"), ["label", "i"]).drop("i").dropDuplicates(["id", "bucket"])
+    # Per label an array of the buckets of all codewords; those that hold nothing have none.
+    buckets = words_of.groupBy("label").agg(
+        F.map_from_entries(F.collect_list(F.struct("i", "bucket"))).alias("buckets")
     )
+    every = F.sequence(F.lit(0), F.lit(len(grid.first) - 1))
+    buckets = stored(
+        buckets.select("label", F.transform(every, lambda i: F.element_at("buckets", i)).alias("buckets"))
+    )
+    at_home = F.element_at("buckets", F.col("i") + 1)
+    visited = F.array_distinct(F.transform("visited", lambda i: F.element_at("buckets", i + 1)))
+    placed_rows = rows.join(buckets, "label")
+    row = ["label", "id", "n", "data", "cells"]
+    held = placed_rows.select(*row, at_home.alias("bucket"))
+    visiting = placed_rows.select(*row, F.explode(visited).alias("bucket")).where("bucket IS NOT NULL")
     index, asked = _blocks(held, "part"), _blocks(visiting, "q")
-    asked = asked.withColumnRenamed("block", "queries")
     keys = ["label", "bucket"]
-    pairs = (
-        index.join(asked.select(*keys, "q"), keys)
-        .join(asked.join(index.select(*keys, "part"), keys), [*keys, "part", "q"])
-        .select("block", "queries")
+    shape = index.groupBy(*keys).agg((F.max("part") + 1).alias("parts")).join(
+        asked.groupBy(*keys).agg(F.ceil(F.count("*") / LANE_BLOCKS).cast("int").alias("lanes")), keys
+    )
+    shape = stored(shape)
+    place = [*keys, "part", "lane"]
+    blocks = index.join(shape, keys).select(
+        *keys, "part", F.explode(F.sequence(F.lit(0), F.col("lanes") - 1)).alias("lane"),
+        F.lit(False).alias("asks"), "block",
+    )
+    queries = asked.join(shape, keys).select(
+        *keys, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+        F.pmod("q", "lanes").alias("lane"), F.lit(True).alias("asks"), "block",
     )
+    met = blocks.unionByName(queries).repartition(*place).sortWithinPartitions(*place, "asks")
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, block = None, None
         for batch in batches:
             for row in batch.to_pylist():
-                yield _compared(_read(row["block"]), _read(row["queries"]), threshold)
+                here = tuple(row[name] for name in place)
+                if not row["asks"]:
+                    at, block = here, _read(row["block"], kind)
+                elif at == here:  # a part may have no rows
+                    yield _compared(block, _read(row["block"], kind), threshold)
 
-    return pairs.mapInArrow(compared, "id long, n_links long, b long")
+    with small_batches(spark, BLOCKS_AT_ONCE):
+        return stored(met.mapInArrow(compared, "id long, n_links long, b long"))
 
 
 def _blocks(rows: DataFrame, name: str) -> DataFrame:
@@ -289,15 +324,15 @@ def _blocks(rows: DataFrame, name: str) -> DataFrame:
     return stored(packed.applyInArrow(pack, f"label string, bucket int, {name} int, block binary"))
 
 
-def _read(block: bytes):
+def _read(block: bytes, kind: np.dtype):
     """(ids, counts, vectors, cells) of a block."""
     n, visits = np.frombuffer(block, np.int64, 2)
     ids, counts = np.frombuffer(block, np.int64, 2 * n, 16).reshape(2, n)
     at = 16 + 16 * int(n)
-    dims = (len(block) - at - 4 * int(n) * int(visits)) // (8 * int(n))
-    data = np.frombuffer(block, np.float64, int(n) * dims, at).reshape(n, dims)
-    cells = np.frombuffer(block, np.int32, offset=at + 8 * int(n) * dims).reshape(n, visits)
-    return ids, counts, data, cells
+    dims = (len(block) - at - 4 * int(n) * int(visits)) // (kind.itemsize * int(n))
+    data = np.frombuffer(block, kind, int(n) * dims, at).reshape(n, dims)
+    cells = np.frombuffer(block, np.int32, offset=at + data.nbytes).reshape(n, visits)
+    return ids, counts, units(data), cells
 
 
 def _compared(block, queries, threshold: float) -> pa.RecordBatch:

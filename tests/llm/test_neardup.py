@@ -33,16 +33,18 @@ def made(rng, n, dims):
     return np.array(rows)
 
 
-@pytest.mark.parametrize("block_rows", [neardup.BLOCK_ROWS, 40])
-def test_all_pairs(spark, monkeypatch, block_rows):
+@pytest.mark.parametrize("block_rows,number", [(neardup.BLOCK_ROWS, "double"), (40, "double"), (40, "float")])
+def test_all_pairs(spark, monkeypatch, block_rows, number):
     monkeypatch.setattr(neardup, "BLOCK_ROWS", block_rows)
+    monkeypatch.setattr(neardup, "LANE_BLOCKS", 2)
     rng = np.random.default_rng(3)
-    vectors = made(rng, 400, 16)
+    vectors = made(rng, 400, 16).astype(np.float32 if number == "float" else np.float64)
     ids, labels = rng.permutation(len(vectors)), rng.integers(0, 3, len(vectors))
     rows = [
         (int(i), v.tolist(), int(x), "x", "x", "x") for i, v, x in zip(ids, vectors, labels, strict=True)
     ]
-    got = near_duplicates(spark.createDataFrame(rows, SCHEMA)).toPandas().set_index("vec_id").loc[ids]
+    table = spark.createDataFrame(rows, SCHEMA.replace("array<double>", f"array<{number}>"))
+    got = near_duplicates(table).toPandas().set_index("vec_id").loc[ids]
     links, component = brute(ids, vectors, labels)
     assert (got["n_links"].to_numpy() <= links).all()
     assert got["n_links"].sum() >= 0.98 * links.sum() > 0
