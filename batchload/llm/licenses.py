@@ -60,6 +60,35 @@ TEMPLATES = {
     "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
     "without fee is hereby granted, provided that the above copyright notice and this permission "
     "notice appear in all copies.",
+    "lgpl": "This library is free software; you can redistribute it and/or modify it under the terms "
+    "of the GNU Lesser General Public License as published by the Free Software Foundation; either "
+    "version 2.1 of the License, or (at your option) any later version.",
+    "agpl": "This program is free software: you can redistribute it and/or modify it under the terms "
+    "of the GNU Affero General Public License as published by the Free Software Foundation, either "
+    "version 3 of the License, or (at your option) any later version.",
+    "epl": "This program and the accompanying materials are made available under the terms of the "
+    "Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    "unlicense": "This is free and unencumbered software released into the public domain. Anyone is "
+    "free to copy, modify, publish, use, compile, sell, or distribute this software, either in source "
+    "code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any "
+    "means.",
+    "cc0": "The person who associated a work with this deed has dedicated the work to the public "
+    "domain by waiving all of his or her rights to the work worldwide under copyright law, including "
+    "all related and neighboring rights, to the extent allowed by law.",
+    "cc-by-sa-line": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 "
+    "International License.",
+    "cc-by-nc": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 "
+    "International License.",
+    "zlib": "This software is provided 'as-is', without any express or implied warranty. In no event "
+    "will the authors be held liable for any damages arising from the use of this software. "
+    "Permission is granted to anyone to use this software for any purpose, including commercial "
+    "applications, and to alter it and redistribute it freely, subject to the following restrictions",
+    "boost-line": "Distributed under the Boost Software License, Version 1.0.",
+    "warranty": 'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, '
+    "INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE "
+    "AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, "
+    "DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, "
+    "OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
 }
 
 
@@ -179,7 +208,8 @@ def scan(
     One row per id and template, with the highest containment and, among windows that have it, the
     words (from 0) from the first to the last matching shingle of the first such window. Words are
     runs of letters and digits in lower case. Null and empty texts have no rows, nor do texts without
-    a match; repeated rows of one id give one row. Other columns play no part.
+    a match; repeated rows of one id give one row. Other columns play no part. Templates that share
+    most of their wording (`gpl`, `agpl`) are found together, the right one with the higher containment.
     """
     spark: SparkSession = docs.sparkSession
     templates = TEMPLATES if templates is None else templates
