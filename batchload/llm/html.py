@@ -62,17 +62,20 @@ CHROME_WORDS = frozenset(
     "comment comments disqus reply replies respond nav navbar navigation menu breadcrumb breadcrumbs "
     "footer masthead pagination pager toolbar sidenav topnav subnav".split()
 )
-# Words that say furniture whatever stands beside them, and words that say nothing of the text.
+# Words of web pages only, which say furniture whatever stands beside them, and words that say nothing
+# of the text.
 CHROME_ALWAYS = frozenset(
-    "adsense advert advertisement advertisements advertising adverts breadcrumb breadcrumbs comment "
-    "commentlist comments disqus navbar newsletter sidebar sponsored".split()
+    "ad adbox ads adsense advert advertisement advertisements advertising adverts breadcrumb breadcrumbs "
+    "comment commentlist comments disqus footer gdpr login masthead modal nav navbar newsletter pager "
+    "pagination popup promo sidebar sidenav signup sponsored subnav subscribe toolbar topnav widget "
+    "widgets".split()
 )
 LAYOUT_WORDS = frozenset(
-    "area article bar block body bottom box button buttons col column container content count entry feed "
-    "fixed follow form grid group header heading icon icons image inner item items js label large left "
-    "level link links list main media message messages meta mobile module outer page panel post posts "
-    "reader right row section site slot small sticky stories story text thread title top unit up us user "
-    "view wp wrap wrapper zone".split()
+    "accept area article bar block body bottom box button buttons col column container content count entry "
+    "feed fixed follow form grid group header heading icon icons image info inner item items js label large "
+    "law left level link links list main media message messages meta mobile module outer page panel policy "
+    "post posts privacy reader right row section settings site slot small sticky stories story text thread "
+    "title top unit up us user view wp wrap wrapper zone".split()
 )
 ABOUT_PAGE = frozenset("has with no without".split())
 PAGE_HEAD_WORDS = frozenset("header topbar".split())

@@ -73,7 +73,7 @@ def test_languages_without_stop_words(stops, text):
     assert html.main_text(page(body), stops) == html.main_text(page(body)) == f"{text} {text}"
 
 
-@pytest.mark.parametrize("name", ['class="social-history"', 'id="promotion-rules"', 'class="related-work"', 'id="shareholders-notice-period"'])
+@pytest.mark.parametrize("name", ['class="social-history"', 'id="promotion-rules"', 'class="related-work"', 'id="shareholders-notice-period"', 'class="commentary"', 'class="cookies-recipe"'])
 def test_furniture_words_beside_others_are_hints(stops, name):
     body = f"<article><p>{LONG}</p><div {name}><p>{LONG}</p><p>A short one.</p></div></article>"
     assert html.main_text(page(body), stops) == f"{LONG} {LONG} A short one."
@@ -81,7 +81,7 @@ def test_furniture_words_beside_others_are_hints(stops, name):
     assert html.main_text(page(linked), stops) == f"{LONG} {LONG}"
 
 
-@pytest.mark.parametrize("name", ["comments-area", "relatedPosts", "ad", "user-comments-by-anna", "cookie-banner", "article__share"])
+@pytest.mark.parametrize("name", ["comments-area", "relatedPosts", "ad", "user-comments-by-anna", "cookie-banner", "article__share", "ad-leaderboard", "cookie-law-info", "promo story-promo", "site-footer-copyright"])
 def test_names_of_furniture(stops, name):
     body = f'<article><p>{LONG}</p><div class="{name}"><p>{LONG}</p></div><p>End.</p></article>'
     assert html.main_text(page(body), stops) == f"{LONG} End."
